@@ -143,3 +143,94 @@ def q_label_from_path(spark, sf):
     p = lab.select("doc_id", path.alias("path"))
     return p.select("doc_id", "path", T.label_from_path("path").alias("label"),
                     T.id_from_path("path").alias("id"))
+
+
+# ---------------------------------------------------------------------------
+# M2: class-mean vectors
+# ---------------------------------------------------------------------------
+
+from reviewlens.operators import centroid  # noqa: E402
+from reviewlens.operators.ordering import sequence_numbers  # noqa: E402
+
+
+@register("clean_tokens")
+def q_clean_tokens(spark, sf):
+    return centroid.clean_tokens(tables.documents(spark, sf))
+
+
+@register("term_collection_freq")
+def q_term_collection_freq(spark, sf):
+    return centroid.term_collection_freq(tables.labelled(spark, sf))
+
+
+@register("doc_term_counts")
+def q_doc_term_counts(spark, sf):
+    return centroid.doc_term_counts(tables.documents(spark, sf))
+
+
+@register("in_vocab_counts")
+def q_in_vocab_counts(spark, sf):
+    stats = centroid.class_stats(tables.labelled(spark, sf))
+    v = centroid.in_vocab_counts(stats, tables.unlabelled(spark, sf))
+    return v.select("doc_id", "word", "f", "count_terms")
+
+
+@register("mean_vectors")
+def q_mean_vectors(spark, sf):
+    s = centroid.class_stats(tables.labelled(spark, sf))
+    return s.select("word", rnd("mean_pos", 12).alias("mean_pos"), rnd("mean_neg", 12).alias("mean_neg"))
+
+
+@register("test_doc_weights")
+def q_test_doc_weights(spark, sf):
+    stats = centroid.class_stats(tables.labelled(spark, sf))
+    x = centroid.test_doc_weights(stats, tables.unlabelled(spark, sf))
+    return x.select("doc_id", "word", rnd("x_pos", 12).alias("x_pos"), rnd("x_neg", 12).alias("x_neg"))
+
+
+@register("weighted_jaccard")
+def q_weighted_jaccard(spark, sf):
+    stats = centroid.class_stats(tables.labelled(spark, sf))
+    s = centroid.weighted_jaccard(stats, tables.unlabelled(spark, sf))
+    return s.select("doc_id", rnd("sim_pos").alias("sim_pos"), rnd("sim_neg").alias("sim_neg"))
+
+
+@register("centroid_predict")
+def q_centroid_predict(spark, sf):
+    return centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
+
+
+@register("centroid_predict_numbered")
+def q_centroid_predict_numbered(spark, sf):
+    p = centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
+    n = sequence_numbers(p, "doc_id")
+    seq = T.zero_padded("seq")
+    return n.select(seq.alias("seq"), "doc_id", "prediction",
+                    F.concat_ws(" ", seq, F.col("prediction").cast("string")).alias("line"))
+
+
+def _heldout(spark, sf):
+    lab = evaluate.holdout_split(tables.labelled(spark, sf), SEED)
+    train = lab.filter(F.col("split") == "train").drop("split")
+    # held-out: labelled reviews not read for training (anti join on the id)
+    held = lab.drop("split").join(train.select("doc_id"), "doc_id", "left_anti")
+    return train, held
+
+
+@register("heldout_docs")
+def q_heldout_docs(spark, sf):
+    _, held = _heldout(spark, sf)
+    return held.select("doc_id", "label")
+
+
+@register("heldout_dedup")
+def q_heldout_dedup(spark, sf):
+    _, held = _heldout(spark, sf)
+    return centroid.heldout_dedup(held).select("doc_id", "label", "n_copies")
+
+
+@register("centroid_precision")
+def q_centroid_precision(spark, sf):
+    train, held = _heldout(spark, sf)
+    r = centroid.centroid_precision(train, held)
+    return r.select("n_correct", "n_wrong", rnd("precision").alias("precision"))

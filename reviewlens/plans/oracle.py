@@ -140,3 +140,116 @@ SELECT doc_id, path,
        CASE WHEN string_split(path, '/')[-2] IN ('pos', 'neg') THEN string_split(path, '/')[-2] END AS label,
        split_part(string_split(path, '/')[-1], '.', 1) AS id
 FROM p"""
+
+
+# ---------------------------------------------------------------------------
+# M2: class-mean vectors
+# ---------------------------------------------------------------------------
+
+STRIP = r"regexp_replace(raw, '[^\p{L}\p{N}]+', '', 'g')"
+
+
+def centroid_ctes(train: str, test: str, tie: str = ">") -> str:
+    """CTEs tf, stats, ttf, iv, xw, sims, cpred for class-mean scoring."""
+    return f"""
+pc AS (SELECT doc_id, label, n_pieces, {STRIP} AS word FROM
+        (SELECT doc_id, label, len(string_split(rtrim(text, ' '), ' ')) AS n_pieces,
+                unnest(string_split(text, ' ')) AS raw FROM {train})),
+tf AS (SELECT doc_id, label, word, n_pieces, count(*) AS f FROM pc WHERE word <> ''
+       GROUP BY doc_id, label, word, n_pieces),
+agg AS (SELECT word,
+          CAST(sum(CASE WHEN label = 'pos' THEN f ELSE 0 END) AS BIGINT) AS cf_pos,
+          CAST(sum(CASE WHEN label = 'neg' THEN f ELSE 0 END) AS BIGINT) AS cf_neg,
+          sum(CASE WHEN label = 'pos' THEN f / n_pieces ELSE 0.0 END) AS a_pos,
+          sum(CASE WHEN label = 'neg' THEN f / n_pieces ELSE 0.0 END) AS a_neg,
+          sum(CASE WHEN label = 'pos' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_pos,
+          sum(CASE WHEN label = 'neg' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_neg
+        FROM tf GROUP BY word),
+ncl AS (SELECT count_if(label = 'pos') AS n_pos, count_if(label = 'neg') AS n_neg FROM {train}),
+stats AS (SELECT word, cf_pos, cf_neg,
+            CASE WHEN cf_pos > 0 THEN (log10(cf_pos) * a_pos - b_pos) / n_pos ELSE 0.0 END AS mean_pos,
+            CASE WHEN cf_neg > 0 THEN (log10(cf_neg) * a_neg - b_neg) / n_neg ELSE 0.0 END AS mean_neg
+          FROM agg, ncl),
+ttf AS (SELECT doc_id, word, count(*) AS f FROM
+         (SELECT doc_id, {STRIP} AS word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS raw FROM {test}))
+        WHERE word <> '' GROUP BY doc_id, word),
+iv AS (SELECT t.doc_id, t.word, t.f, s.cf_pos, s.cf_neg, s.mean_pos, s.mean_neg,
+              sum(t.f) OVER (PARTITION BY t.doc_id) AS count_terms
+       FROM ttf t JOIN stats s ON t.word = s.word),
+xw AS (SELECT doc_id, word, mean_pos, mean_neg,
+         CASE WHEN cf_pos > 0 AND cf_neg > 0 THEN f / count_terms * log10(cf_pos / f) ELSE 0.0 END AS x_pos,
+         CASE WHEN cf_pos > 0 AND cf_neg > 0 THEN f / count_terms * log10(cf_neg / f) ELSE 0.0 END AS x_neg
+       FROM iv),
+sg AS (SELECT doc_id, sum(least(x_pos, mean_pos)) AS np, sum(greatest(x_pos, mean_pos)) AS dp,
+              sum(least(x_neg, mean_neg)) AS nn, sum(greatest(x_neg, mean_neg)) AS dn
+       FROM xw GROUP BY doc_id),
+sims AS (SELECT t.doc_id,
+           CASE WHEN sg.dp = 0 THEN NULL ELSE sg.np / sg.dp END AS sim_pos,
+           CASE WHEN sg.dn = 0 THEN NULL ELSE sg.nn / sg.dn END AS sim_neg
+         FROM {test} t LEFT JOIN sg ON t.doc_id = sg.doc_id),
+cpred AS (SELECT doc_id, CAST(coalesce(round(sim_pos - sim_neg, 9) {tie} 0, false) AS INTEGER) AS prediction
+          FROM sims)"""
+
+
+HELD = ("held AS (SELECT doc_id, text, label FROM spl s WHERE NOT EXISTS "
+        "(SELECT 1 FROM trn t WHERE t.doc_id = s.doc_id))")
+DEDUP = ("dd AS (SELECT min(doc_id) AS doc_id, text, arg_max(label, label = 'neg') AS label, "
+         "count(*) AS n_copies FROM held GROUP BY text)")
+
+ORACLE["clean_tokens"] = rf"""
+SELECT doc_id, idx, word FROM (
+  SELECT doc_id, idx, {STRIP} AS word FROM (
+    SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS idx, unnest(s) AS raw
+    FROM (SELECT doc_id, string_split(text, ' ') AS s FROM documents)))
+WHERE word <> ''"""
+
+ORACLE["term_collection_freq"] = f"""
+WITH {LAB}
+SELECT word, CAST(count_if(label = 'pos') AS BIGINT) AS cf_pos, CAST(count_if(label = 'neg') AS BIGINT) AS cf_neg
+FROM (SELECT label, {STRIP} AS word FROM (SELECT label, unnest(string_split(text, ' ')) AS raw FROM lab))
+WHERE word <> '' GROUP BY word"""
+
+ORACLE["doc_term_counts"] = f"""
+SELECT doc_id, word, n_pieces, count(*) AS f FROM
+  (SELECT doc_id, n_pieces, {STRIP} AS word FROM
+    (SELECT doc_id, len(string_split(rtrim(text, ' '), ' ')) AS n_pieces,
+            unnest(string_split(text, ' ')) AS raw FROM documents))
+WHERE word <> '' GROUP BY doc_id, word, n_pieces"""
+
+ORACLE["in_vocab_counts"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')}
+SELECT doc_id, word, f, CAST(count_terms AS BIGINT) AS count_terms FROM iv"""
+
+ORACLE["mean_vectors"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')}
+SELECT word, round(mean_pos, 12) AS mean_pos, round(mean_neg, 12) AS mean_neg FROM stats"""
+
+ORACLE["test_doc_weights"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')}
+SELECT doc_id, word, round(x_pos, 12) AS x_pos, round(x_neg, 12) AS x_neg FROM xw"""
+
+ORACLE["weighted_jaccard"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')}
+SELECT doc_id, round(sim_pos, 9) AS sim_pos, round(sim_neg, 9) AS sim_neg FROM sims"""
+
+ORACLE["centroid_predict"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')}
+SELECT doc_id, prediction FROM cpred"""
+
+ORACLE["centroid_predict_numbered"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl')},
+num AS (SELECT doc_id, prediction, printf('%05d', row_number() OVER (ORDER BY doc_id) - 1) AS seq FROM cpred)
+SELECT seq, doc_id, prediction, seq || ' ' || CAST(prediction AS VARCHAR) AS line FROM num"""
+
+ORACLE["heldout_docs"] = f"""
+WITH {LAB}, {SPLIT}, {TRAIN}, {HELD} SELECT doc_id, label FROM held"""
+
+ORACLE["heldout_dedup"] = f"""
+WITH {LAB}, {SPLIT}, {TRAIN}, {HELD}, {DEDUP} SELECT doc_id, label, n_copies FROM dd"""
+
+ORACLE["centroid_precision"] = f"""
+WITH {LAB}, {SPLIT}, {TRAIN}, {HELD}, {DEDUP}, {centroid_ctes('trn', 'dd', '>=')},
+ev AS (SELECT count_if((p.prediction = 1) = (d.label = 'pos')) AS c, count_if((p.prediction = 1) <> (d.label = 'pos')) AS w
+       FROM cpred p JOIN dd d ON p.doc_id = d.doc_id)
+SELECT CAST(c AS BIGINT) AS n_correct, CAST(w AS BIGINT) AS n_wrong,
+       round(CASE WHEN c + w = 0 THEN NULL ELSE c / (c + w) END, 9) AS precision FROM ev"""

@@ -33,6 +33,7 @@ def get_session(master: str | None = None, app: str = "reviewlens",
     master = master or os.environ.get("REVIEWLENS_MASTER", "local[8]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", os.environ.get("REVIEWLENS_DRIVER_MEM", "16g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
