@@ -234,3 +234,177 @@ def q_centroid_precision(spark, sf):
     train, held = _heldout(spark, sf)
     r = centroid.centroid_precision(train, held)
     return r.select("n_correct", "n_wrong", rnd("precision").alias("precision"))
+
+
+# ---------------------------------------------------------------------------
+# M3: TF-IDF neighbours
+# ---------------------------------------------------------------------------
+
+from reviewlens.operators import neighbors as nb  # noqa: E402
+
+
+@register("analyzed_terms")
+def q_analyzed_terms(spark, sf):
+    d = tables.documents(spark, sf)
+    t = d.select("doc_id", F.posexplode(T.analyzed_terms("text")).alias("idx", "word"))
+    return t.withColumn("is_stop", F.col("word").isin(T.STOP_WORDS))
+
+
+@register("normalized_query_text")
+def q_normalized_query_text(spark, sf):
+    u = tables.unlabelled(spark, sf)
+    return u.select("doc_id", T.normalize_query_text("text").alias("query_text"))
+
+
+@register("tfidf_corpus_stats")
+def q_tfidf_corpus_stats(spark, sf):
+    s = nb.corpus_stats(tables.labelled(spark, sf))
+    return s.select("word", "df", "n_docs", rnd("idf").alias("idf"))
+
+
+@register("tfidf_pair_scores")
+def q_tfidf_pair_scores(spark, sf):
+    s = nb.pair_scores(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
+    return s.select("qid", "doc_id", "is_pos", rnd("score").alias("score"))
+
+
+@register("knn_top_hits")
+def q_knn_top_hits(spark, sf):
+    return nb.knn_hits(tables.labelled(spark, sf), tables.unlabelled(spark, sf), nb.DEFAULT_K) \
+        .select("qid", "rn", "doc_id", "is_pos", "score")
+
+
+@register("knn_votes")
+def q_knn_votes(spark, sf):
+    test = tables.unlabelled(spark, sf)
+    v = nb.votes(nb.knn_hits(tables.labelled(spark, sf), test, nb.DEFAULT_K), test)
+    return v.select("qid", "n_hits", "pos_hits", rnd("cos_sum", 6).alias("cos_sum"))
+
+
+@register("knn_predict_cos")
+def q_knn_predict_cos(spark, sf):
+    return nb.knn_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf),
+                          nb.DEFAULT_K, "cos")
+
+
+@register("knn_predict_majority")
+def q_knn_predict_majority(spark, sf):
+    return nb.knn_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf),
+                          nb.DEFAULT_K, "majority")
+
+
+# ---------------------------------------------------------------------------
+# M4: preprocessing (lexicon scoring with negation)
+# ---------------------------------------------------------------------------
+
+from reviewlens.operators import lexicon as lx  # noqa: E402
+from reviewlens.sources import fixtures  # noqa: E402
+
+
+def _lookup(spark, sf):
+    docs = tables.documents(spark, sf)
+    lex = lx.first_sense(lx.parse_lexicon(fixtures.lexicon_lines(docs)))
+    return lx.token_lookup(fixtures.tag_table(docs), lex)
+
+
+def _tagged(spark, sf):
+    toks = lx.review_tokens(tables.documents(spark, sf))
+    return lx.tagged_tokens(toks, _lookup(spark, sf))
+
+
+@register("html_to_text")
+def q_html_to_text(spark, sf):
+    return tables.pages(spark, sf).select("page_id", lx.clean_review_text(F.col("html")).alias("text"))
+
+
+@register("word_tokens")
+def q_word_tokens(spark, sf):
+    return lx.review_tokens(tables.documents(spark, sf))
+
+
+@register("lexicon_parse")
+def q_lexicon_parse(spark, sf):
+    return lx.parse_lexicon(fixtures.lexicon_lines(tables.documents(spark, sf)))
+
+
+@register("lexicon_first_sense")
+def q_lexicon_first_sense(spark, sf):
+    return lx.first_sense(lx.parse_lexicon(fixtures.lexicon_lines(tables.documents(spark, sf))))
+
+
+@register("tagged_tokens")
+def q_tagged_tokens(spark, sf):
+    return _tagged(spark, sf).select("doc_id", "idx", "token", "tag")
+
+
+@register("content_words")
+def q_content_words(spark, sf):
+    return _tagged(spark, sf).filter("content").select("doc_id", "idx", "token", "tag")
+
+
+@register("negated_tokens")
+def q_negated_tokens(spark, sf):
+    n = lx.negation_flags(_tagged(spark, sf))
+    return n.filter("content").select("doc_id", "idx", "token", "negated")
+
+
+@register("token_sentiment")
+def q_token_sentiment(spark, sf):
+    n = lx.negation_flags(_tagged(spark, sf))
+    return n.filter("content").select("doc_id", "idx", "token", "pos", "neg", "negated")
+
+
+@register("doc_sentiment")
+def q_doc_sentiment(spark, sf):
+    s = lx.doc_sentiment(tables.documents(spark, sf), _lookup(spark, sf))
+    return s.select("doc_id", "pos_score", "neg_score")
+
+
+@register("retained_text")
+def q_retained_text(spark, sf):
+    return lx.doc_sentiment(tables.documents(spark, sf), _lookup(spark, sf)).select("doc_id", "text")
+
+
+@register("sentiment_disagreement")
+def q_sentiment_disagreement(spark, sf):
+    lab = tables.labelled(spark, sf)
+    s = lx.doc_sentiment(lab.select("doc_id", "text"), _lookup(spark, sf))
+    return lx.disagreement(s.join(lab.select("doc_id", "label"), "doc_id"))
+
+
+# ---------------------------------------------------------------------------
+# M5: sentiment-blended votes and the K sweep
+# ---------------------------------------------------------------------------
+
+SWEEP_K_MAX = 200
+
+
+@register("doc_polarity")
+def q_doc_polarity(spark, sf):
+    s = lx.doc_sentiment(tables.unlabelled(spark, sf), _lookup(spark, sf))
+    return s.select("doc_id", rnd(nb.polarity(F.col("pos_score"), F.col("neg_score"))).alias("polarity"))
+
+
+@register("knn_predict_sentiment")
+def q_knn_predict_sentiment(spark, sf):
+    test = tables.unlabelled(spark, sf)
+    sen = lx.doc_sentiment(test, _lookup(spark, sf))
+    return nb.knn_predict(tables.labelled(spark, sf), test, nb.DEFAULT_K, "sentiment", sen)
+
+
+@register("knn_prefix_votes")
+def q_knn_prefix_votes(spark, sf):
+    train, test = evaluate.train_test(tables.labelled(spark, sf), SEED)
+    hits = nb.knn_hits(train, test, SWEEP_K_MAX)
+    pv = nb.prefix_votes(hits, test, SWEEP_K_MAX)
+    return pv.select("qid", "k", "pos_hits", rnd("cos_sum", 6).alias("cos_sum"))
+
+
+@register("knn_sweep")
+def q_knn_sweep(spark, sf):
+    train, test = evaluate.train_test(tables.labelled(spark, sf), SEED)
+    sen = lx.doc_sentiment(test.select("doc_id", "text"), _lookup(spark, sf))
+    s = nb.sweep(train, test, sen, 1, SWEEP_K_MAX)
+    return s.select("k", rnd("acc_knn").alias("acc_knn"),
+                    rnd("acc_knn_sentiment").alias("acc_knn_sentiment"),
+                    rnd("acc_cos").alias("acc_cos"))

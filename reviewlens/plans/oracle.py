@@ -253,3 +253,235 @@ ev AS (SELECT count_if((p.prediction = 1) = (d.label = 'pos')) AS c, count_if((p
        FROM cpred p JOIN dd d ON p.doc_id = d.doc_id)
 SELECT CAST(c AS BIGINT) AS n_correct, CAST(w AS BIGINT) AS n_wrong,
        round(CASE WHEN c + w = 0 THEN NULL ELSE c / (c + w) END, 9) AS precision FROM ev"""
+
+
+# ---------------------------------------------------------------------------
+# M3: TF-IDF neighbours
+# ---------------------------------------------------------------------------
+
+STOPS = ("['a', 'an', 'and', 'are', 'as', 'at', 'be', 'but', 'by', 'for', 'if', 'in', 'into', "
+         "'is', 'it', 'no', 'not', 'of', 'on', 'or', 'such', 'that', 'the', 'their', 'then', "
+         "'there', 'these', 'they', 'this', 'to', 'was', 'will', 'with']")
+RUNS = r"'[\p{L}\p{N}]+'"
+
+
+def knn_ctes(train: str, test: str, k: int) -> str:
+    """CTEs post, nd, dfs, qt, ps, hits, votes for neighbour search."""
+    return f"""
+pt AS (SELECT doc_id, label = 'pos' AS is_pos,
+              list_filter(regexp_extract_all(lower(text), {RUNS}), lambda x: NOT list_contains({STOPS}, x)) AS terms
+       FROM {train}),
+post AS (SELECT doc_id, is_pos, doc_len, word, count(*) AS tf FROM
+          (SELECT doc_id, is_pos, len(terms) AS doc_len, unnest(terms) AS word FROM pt)
+         GROUP BY doc_id, is_pos, doc_len, word),
+nd AS (SELECT count(*) AS n FROM {train}),
+dfs AS (SELECT word, count(*) AS df FROM post GROUP BY word),
+qt AS (SELECT qid, word, count(*) AS qtf FROM
+        (SELECT doc_id AS qid,
+                unnest(regexp_extract_all(regexp_replace(lower(text), '[^a-zA-Z ]+', '', 'g'), {RUNS})) AS word
+         FROM {test})
+       WHERE NOT list_contains({STOPS}, word) GROUP BY qid, word),
+ps AS (SELECT q.qid, p.doc_id, p.is_pos,
+              sum(q.qtf * ((1.0 + ln((nd.n + 1) / (dfs.df + 1))) * (1.0 + ln((nd.n + 1) / (dfs.df + 1)))
+                           * sqrt(p.tf) / sqrt(p.doc_len))) AS score
+       FROM qt q JOIN post p ON q.word = p.word JOIN dfs ON dfs.word = q.word CROSS JOIN nd
+       GROUP BY q.qid, p.doc_id, p.is_pos),
+hits AS (SELECT * FROM
+          (SELECT qid, doc_id, is_pos, round(score, 9) AS score,
+                  CAST(row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id ASC) AS INTEGER) AS rn
+           FROM ps)
+         WHERE rn <= {k}),
+votes AS (SELECT t.doc_id AS qid, CAST(coalesce(h.n_hits, 0) AS BIGINT) AS n_hits,
+                 CAST(coalesce(h.pos_hits, 0) AS BIGINT) AS pos_hits, coalesce(h.cos_sum, 0.0) AS cos_sum
+          FROM {test} t LEFT JOIN
+           (SELECT qid, count(*) AS n_hits, count_if(is_pos) AS pos_hits,
+                   CAST(sum(CASE WHEN is_pos THEN CAST(score AS DECIMAL(38, 9)) ELSE -CAST(score AS DECIMAL(38, 9)) END) AS DOUBLE) AS cos_sum
+           FROM hits GROUP BY qid) h
+          ON t.doc_id = h.qid)"""
+
+
+ORACLE["analyzed_terms"] = f"""
+SELECT doc_id, idx, word, list_contains({STOPS}, word) AS is_stop FROM (
+  SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS idx, unnest(s) AS word
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), {RUNS}) AS s FROM documents))"""
+
+ORACLE["normalized_query_text"] = f"""
+WITH {UNL} SELECT doc_id, regexp_replace(lower(text), '[^a-zA-Z ]+', '', 'g') AS query_text FROM unl"""
+
+ORACLE["tfidf_corpus_stats"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT word, df, n AS n_docs, round(1.0 + ln((n + 1) / (df + 1)), 9) AS idf FROM dfs, nd"""
+
+ORACLE["tfidf_pair_scores"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT qid, doc_id, is_pos, round(score, 9) AS score FROM ps"""
+
+ORACLE["knn_top_hits"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT qid, rn, doc_id, is_pos, score FROM hits"""
+
+ORACLE["knn_votes"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT qid, n_hits, pos_hits, round(cos_sum, 6) AS cos_sum FROM votes"""
+
+ORACLE["knn_predict_cos"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT qid AS doc_id, CAST(cos_sum > 0 AS INTEGER) AS prediction FROM votes"""
+
+ORACLE["knn_predict_majority"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}
+SELECT qid AS doc_id, CAST(round(2 * pos_hits / 61 - 1, 9) > 0 AS INTEGER) AS prediction FROM votes"""
+
+
+# ---------------------------------------------------------------------------
+# M4: preprocessing (lexicon scoring with negation)
+# ---------------------------------------------------------------------------
+
+TOKRE = r"'[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'"
+
+
+def html_sql(col: str) -> str:
+    x = (f"regexp_replace(regexp_replace(regexp_replace({col}, '(?is)<!--.*?-->', '', 'g'), "
+         f"'(?is)<(script|style)\\b.*?</(script|style)>', '', 'g'), '(?s)<[^>]*>', '', 'g')")
+    for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"),
+                    ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&copy;", "chr(169)"),
+                    ("&middot;", "chr(183)"), ("&amp;", "'&'")]:
+        x = f"replace({x}, '{ent}', {ch})"
+    return x
+
+
+# lexicon derived from the corpus vocabulary, rendered as file lines
+LEXICON = rf"""
+vocab AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), {RUNS})) AS word FROM documents),
+lrows AS (SELECT word, r, md5(word || '#' || CAST(r AS VARCHAR)) AS h
+          FROM vocab CROSS JOIN (VALUES (1), (2)) v(r)
+          WHERE r = 1 OR CAST('0x' || substr(md5(word), 1, 1) AS INTEGER) < 4),
+lexrows AS (SELECT CAST('0x' || substr(h, 4, 7) AS BIGINT) * 2 + (r - 1) AS line_no,
+                   ['a', 'a', 'v', 'n'][CAST('0x' || substr(h, 1, 1) AS INTEGER) % 4 + 1] AS pos_tag,
+                   (CAST('0x' || substr(h, 2, 1) AS INTEGER) % 9) / 8.0 AS pos,
+                   (CAST('0x' || substr(h, 3, 1) AS INTEGER) % 9) / 8.0 AS neg,
+                   word || '#' || CAST(r AS VARCHAR) AS term
+            FROM lrows),
+lines AS (SELECT line_no, pos_tag || ' ' || CAST(line_no AS VARCHAR) || ' ' || CAST(pos AS VARCHAR) || ' '
+                 || CAST(neg AS VARCHAR) || ' ' || term || ' gloss' AS line FROM lexrows),
+parsed AS (SELECT line_no, p[1] AS pos_tag, split_part(p[5], '#', 1) AS word,
+                  CAST(p[3] AS DOUBLE) AS pos, CAST(p[4] AS DOUBLE) AS neg
+           FROM (SELECT line_no, string_split_regex(trim(line), '\s+') AS p FROM lines
+                 WHERE starts_with(line, 'a') OR starts_with(line, 'v'))
+           WHERE len(p) >= 5),
+fs AS (SELECT word, arg_min(pos, line_no) AS pos, arg_min(neg, line_no) AS neg FROM parsed GROUP BY word)"""
+
+TAGS = rf"""
+toks AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), {TOKRE})) AS token FROM documents),
+tagt AS (SELECT token, CASE WHEN NOT regexp_full_match(token, {RUNS}) THEN '.'
+                            WHEN token = 'no' THEN 'DT' WHEN token = 'not' THEN 'RB'
+                            ELSE ['JJ', 'JJR', 'JJS', 'RB', 'NN', 'NNS', 'NNP', 'VB', 'VBD', 'VBG',
+                                  'DT', 'IN', 'CC', 'PRP', 'MD', 'CD'][CAST('0x' || substr(md5(token), 1, 1) AS INTEGER) + 1]
+                       END AS tag FROM toks)"""
+
+
+def sentiment_ctes(docs: str) -> str:
+    """CTEs rt, tg, ng, dsent for lexicon scoring of ``docs`` (doc_id, text)."""
+    return f"""{LEXICON}, {TAGS},
+rt AS (SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS idx, unnest(s) AS token
+       FROM (SELECT doc_id, regexp_extract_all({html_sql('lower(text)')}, {TOKRE}) AS s FROM {docs})),
+tg0 AS (SELECT rt.doc_id, rt.idx, rt.token,
+               coalesce(g.tag, CASE WHEN regexp_full_match(rt.token, {RUNS}) THEN 'NN' ELSE '.' END) AS tag,
+               coalesce(fs.pos, 0.0) AS pos, coalesce(fs.neg, 0.0) AS neg
+        FROM rt LEFT JOIN tagt g ON g.token = rt.token LEFT JOIN fs ON fs.word = rt.token),
+tg AS (SELECT *, regexp_matches(tag, '^(JJ|RB|NN|V)') AS content FROM tg0),
+ng AS (SELECT *, coalesce(last_value(CASE WHEN content THEN NULL WHEN token IN ('no', 'not') THEN true ELSE false END
+                                     IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS negated
+       FROM tg),
+dsent AS (SELECT d.doc_id, coalesce(s.pos_score, 0.0) AS pos_score, coalesce(s.neg_score, 0.0) AS neg_score,
+                 coalesce(s.text, '') AS text
+          FROM {docs} d LEFT JOIN
+           (SELECT doc_id, sum(CASE WHEN negated THEN neg ELSE pos END) AS pos_score,
+                   sum(CASE WHEN negated THEN pos ELSE neg END) AS neg_score,
+                   string_agg(token || ' ', '' ORDER BY idx) AS text
+            FROM ng WHERE content GROUP BY doc_id) s ON d.doc_id = s.doc_id)"""
+
+
+ORACLE["html_to_text"] = f"""
+SELECT page_id, {html_sql('lower(html)')} AS text FROM pages"""
+
+ORACLE["word_tokens"] = f"""
+SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS idx, unnest(s) AS token
+FROM (SELECT doc_id, regexp_extract_all({html_sql('lower(text)')}, {TOKRE}) AS s FROM documents)"""
+
+ORACLE["lexicon_parse"] = f"""
+WITH {LEXICON} SELECT line_no, pos_tag, word, pos, neg FROM parsed"""
+
+ORACLE["lexicon_first_sense"] = f"""
+WITH {LEXICON} SELECT word, pos, neg FROM fs"""
+
+ORACLE["tagged_tokens"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, idx, token, tag FROM tg"""
+
+ORACLE["content_words"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, idx, token, tag FROM tg WHERE content"""
+
+ORACLE["negated_tokens"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, idx, token, negated FROM ng WHERE content"""
+
+ORACLE["token_sentiment"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, idx, token, pos, neg, negated FROM ng WHERE content"""
+
+ORACLE["doc_sentiment"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, pos_score, neg_score FROM dsent"""
+
+ORACLE["retained_text"] = f"""
+WITH {sentiment_ctes('documents')} SELECT doc_id, text FROM dsent"""
+
+ORACLE["sentiment_disagreement"] = f"""
+WITH {LAB}, {sentiment_ctes('lab')}
+SELECT CAST(count_if(s.pos_score > s.neg_score AND l.label = 'neg') AS BIGINT) AS pos_but_neg,
+       CAST(count_if(s.neg_score > s.pos_score AND l.label = 'pos') AS BIGINT) AS neg_but_pos
+FROM dsent s JOIN lab l ON s.doc_id = l.doc_id"""
+
+
+# ---------------------------------------------------------------------------
+# M5: sentiment-blended votes and the K sweep
+# ---------------------------------------------------------------------------
+
+POL = ("CASE WHEN pos_score + neg_score = 0 THEN NULL "
+       "ELSE (pos_score - neg_score) / (pos_score + neg_score) END")
+
+ORACLE["doc_polarity"] = f"""
+WITH {UNL}, {sentiment_ctes('unl')} SELECT doc_id, round({POL}, 9) AS polarity FROM dsent"""
+
+ORACLE["knn_predict_sentiment"] = f"""
+WITH {LAB}, {UNL}, {knn_ctes('lab', 'unl', 61)}, {sentiment_ctes('unl')}
+SELECT v.qid AS doc_id,
+       CAST(coalesce(round(0.2 * {POL} + 0.8 * (2 * v.pos_hits / 61 - 1), 9) > 0, false) AS INTEGER) AS prediction
+FROM votes v LEFT JOIN dsent s ON s.doc_id = v.qid"""
+
+PREFIX = """
+run AS (SELECT qid, rn,
+               count_if(is_pos) OVER (PARTITION BY qid ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pos_hits,
+               CAST(sum(CASE WHEN is_pos THEN CAST(score AS DECIMAL(38, 9)) ELSE -CAST(score AS DECIMAL(38, 9)) END)
+                   OVER (PARTITION BY qid ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cos_sum,
+               count(*) OVER (PARTITION BY qid) AS n_hits
+        FROM hits),
+ks AS (SELECT CAST(k AS INTEGER) AS k FROM range(1, 201) t(k)),
+pv AS (SELECT r.qid, ks.k, CAST(r.pos_hits AS BIGINT) AS pos_hits, r.cos_sum
+       FROM run r JOIN ks ON ks.k = r.rn OR (r.rn = r.n_hits AND ks.k > r.rn)
+       UNION ALL
+       SELECT t.doc_id AS qid, ks.k, CAST(0 AS BIGINT) AS pos_hits, 0.0 AS cos_sum
+       FROM tst t CROSS JOIN ks WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.qid = t.doc_id))"""
+
+ORACLE["knn_prefix_votes"] = f"""
+WITH {LAB}, {SPLIT}, {TRAIN}, {TEST}, {knn_ctes('trn', 'tst', 200)}, {PREFIX}
+SELECT qid, k, pos_hits, round(cos_sum, 6) AS cos_sum FROM pv"""
+
+ORACLE["knn_sweep"] = f"""
+WITH {LAB}, {SPLIT}, {TRAIN}, {TEST}, {knn_ctes('trn', 'tst', 200)}, {PREFIX}, {sentiment_ctes('tst')},
+j AS (SELECT pv.k, pv.pos_hits, pv.cos_sum, t.label = 'pos' AS truth, {POL} AS pol
+      FROM pv JOIN tst t ON t.doc_id = pv.qid LEFT JOIN dsent s ON s.doc_id = pv.qid)
+SELECT k,
+       round(avg(CAST((round(2 * pos_hits / k - 1, 9) > 0) = truth AS DOUBLE)), 9) AS acc_knn,
+       round(avg(CAST(coalesce(round(0.2 * pol + 0.8 * (2 * pos_hits / k - 1), 9) > 0, false) = truth AS DOUBLE)), 9)
+           AS acc_knn_sentiment,
+       round(avg(CAST((cos_sum > 0) = truth AS DOUBLE)), 9) AS acc_cos
+FROM j GROUP BY k"""
