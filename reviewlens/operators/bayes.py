@@ -46,9 +46,11 @@ def _class_size(train: DataFrame, label: str):
 
 def doc_distinct_words(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, word (+ keep): each non-blank space token once per document.
-    De-duplicated inside the row, no shuffle."""
-    words = F.array_distinct(F.filter(T.space_split("text"), T.is_non_blank))
-    return docs.select("doc_id", *keep, F.explode(words).alias("word"))
+    De-duplicated inside the row (no shuffle); the blank test runs on the
+    exploded column, in generated code."""
+    words = F.array_distinct(T.space_split("text"))
+    return (docs.select("doc_id", *keep, F.explode(words).alias("word"))
+            .filter(T.is_non_blank("word")))
 
 
 def term_doc_freq(train: DataFrame) -> DataFrame:

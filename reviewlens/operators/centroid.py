@@ -44,9 +44,16 @@ def clean_tokens(docs: DataFrame, *keep: str) -> DataFrame:
 def doc_term_counts(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, word, f, n_pieces (+ keep): term counts per document and the
     document's split length."""
-    pieces = docs.select("doc_id", *keep, T.split_length("text").alias("n_pieces"),
-                         F.explode(F.transform(T.space_split("text"), T.strip_symbols)).alias("word"))
-    return (pieces.filter(F.col("word") != "")
+    # The document length is projected *before* the explode: an expression
+    # on `text` next to the generator would be evaluated once per exploded
+    # token over the whole text (quadratic in document length).  The regex
+    # runs on the exploded column in generated code, not inside an array
+    # lambda.
+    pieces = (docs.select("doc_id", *keep, T.split_length("text").alias("n_pieces"),
+                          T.space_split("text").alias("raw_pieces"))
+              .select("doc_id", *keep, "n_pieces", F.explode("raw_pieces").alias("raw")))
+    return (pieces.select("doc_id", "n_pieces", *keep, T.strip_symbols("raw").alias("word"))
+            .filter(F.col("word") != "")
             .groupBy("doc_id", "word", "n_pieces", *keep)
             .agg(F.count(F.lit(1)).alias("f")))
 
