@@ -126,9 +126,10 @@ def id_from_path(col: Column | str) -> Column:
 
 
 def label_from_path(col: Column | str) -> Column:
-    """Class from the parent directory of a path: 'pos', 'neg' or NULL."""
+    """Class from the parent directory of a path ('pos' or 'neg', also as a
+    'label=pos' partition folder), else NULL."""
     c = F.col(col) if isinstance(col, str) else col
-    parent = F.element_at(F.split(c, "/"), -2)
+    parent = F.regexp_replace(F.element_at(F.split(c, "/"), -2), "^label=", "")
     return F.when(parent.isin("pos", "neg"), parent)
 
 

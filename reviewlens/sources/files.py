@@ -16,6 +16,7 @@ SCORED_SCHEMA = ST.StructType([
     ST.StructField("text", ST.StringType()),
     ST.StructField("pos_score", ST.DoubleType()),
     ST.StructField("neg_score", ST.DoubleType()),
+    ST.StructField("id", ST.StringType()),
 ])
 
 
@@ -36,13 +37,16 @@ def read_raw_reviews(spark: SparkSession, paths) -> DataFrame:
 
 def read_scored_reviews(spark: SparkSession, paths, strict: bool = True,
                         limit: int | None = None) -> DataFrame:
-    """path, id, label, text, pos_score, neg_score from scored-JSON review files
-    (one JSON object per file).
+    """path, id, label, text, pos_score, neg_score from scored-JSON reviews:
+    one JSON object per file, or JSON lines as written by
+    ``write_scored_reviews`` (an optional ``id`` field overrides the file
+    name; ``label=pos`` folders count as class folders).
 
     ``strict=True``: a malformed file or a missing ``text`` raises when the
     rows are computed.  ``strict=False``: such files are skipped.
     ``limit``: the first ``limit`` files in path order (None = all)."""
-    reader = (spark.read.schema(SCORED_SCHEMA).option("multiLine", True)
+    # a one-object file is one JSON line, so line mode reads both layouts
+    reader = (spark.read.schema(SCORED_SCHEMA)
               .option("mode", "FAILFAST" if strict else "DROPMALFORMED"))
     df = reader.json(_paths(paths))
     path = F.col("_metadata.file_path")
@@ -52,7 +56,7 @@ def read_scored_reviews(spark: SparkSession, paths, strict: bool = True,
                       F.raise_error(F.concat(F.lit("review without text: "), path))).otherwise(text)
     else:
         df = df.filter(F.col("text").isNotNull())
-    out = df.select(path.alias("path"), T.id_from_path(path).alias("id"),
+    out = df.select(path.alias("path"), F.coalesce("id", T.id_from_path(path)).alias("id"),
                     T.label_from_path(path).alias("label"), text.alias("text"),
                     F.coalesce("pos_score", F.lit(0.0)).alias("pos_score"),
                     F.coalesce("neg_score", F.lit(0.0)).alias("neg_score"))
