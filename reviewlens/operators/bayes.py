@@ -89,7 +89,13 @@ def check_classes(train: DataFrame) -> None:
 
 def bayes_scores(train: DataFrame, test: DataFrame) -> DataFrame:
     """doc_id, score_pos, score_neg: log-space class scores of every test doc."""
-    lp = word_log_probs(train).select("word", "lp_pos", "lp_neg")
+    return scores_from_model(word_log_probs(train), test)
+
+
+def scores_from_model(model: DataFrame, test: DataFrame) -> DataFrame:
+    """Scores of ``test`` given a fitted model table (word, lp_pos, lp_neg),
+    e.g. one written once and reused by every streaming micro-batch."""
+    lp = model.select("word", "lp_pos", "lp_neg")
     sums = (occurrence_counts(test).join(lp, "word")
             .groupBy("doc_id")
             .agg(F.sum(F.col("n") * F.col("lp_pos")).alias("score_pos"),
@@ -102,7 +108,10 @@ def bayes_scores(train: DataFrame, test: DataFrame) -> DataFrame:
 
 def bayes_predict(train: DataFrame, test: DataFrame) -> DataFrame:
     """doc_id, prediction (1 positive, 0 negative)."""
-    s = bayes_scores(train, test)
+    return decide(bayes_scores(train, test))
+
+
+def decide(s: DataFrame) -> DataFrame:
     return s.select(
         "doc_id",
         (F.round(F.col("score_pos") - F.col("score_neg"), DECISION_DECIMALS) > 0)
