@@ -137,3 +137,9 @@ def zero_padded(col: Column | str, width: int = 5) -> Column:
     """Zero-padded decimal id (never truncates numbers wider than ``width``)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.format_string(f"%0{width}d", c)
+
+
+# Note on generators: tokenizer arrays are exploded with the ``*_outer``
+# variants followed by an explicit null filter.  For a plain ``explode`` the
+# optimizer infers ``size(array) > 0`` and pushes it below joins, which
+# evaluates the tokenizer regex a second time on every row.

@@ -31,7 +31,7 @@ def space_tokens(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, idx, word (+ ``keep``): single-space split pieces that are not
     blank after a Java-style trim; pieces are kept un-trimmed."""
     return (docs.select("doc_id", *keep,
-                        F.posexplode(T.space_split("text")).alias("idx", "word"))
+                        F.posexplode_outer(T.space_split("text")).alias("idx", "word"))
             .filter(T.is_non_blank("word")))
 
 
@@ -49,7 +49,7 @@ def doc_distinct_words(docs: DataFrame, *keep: str) -> DataFrame:
     De-duplicated inside the row (no shuffle); the blank test runs on the
     exploded column, in generated code."""
     words = F.array_distinct(T.space_split("text"))
-    return (docs.select("doc_id", *keep, F.explode(words).alias("word"))
+    return (docs.select("doc_id", *keep, F.explode_outer(words).alias("word"))
             .filter(T.is_non_blank("word")))
 
 

@@ -36,7 +36,7 @@ def clean_tokens(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, idx, word (+ keep): space-split pieces stripped to letters and
     digits; empty results dropped."""
     return (docs.select("doc_id", *keep,
-                        F.posexplode(T.space_split("text")).alias("idx", "raw"))
+                        F.posexplode_outer(T.space_split("text")).alias("idx", "raw"))
             .select("doc_id", *keep, "idx", T.strip_symbols("raw").alias("word"))
             .filter(F.col("word") != ""))
 
@@ -51,7 +51,7 @@ def doc_term_counts(docs: DataFrame, *keep: str) -> DataFrame:
     # lambda.
     pieces = (docs.select("doc_id", *keep, T.split_length("text").alias("n_pieces"),
                           T.space_split("text").alias("raw_pieces"))
-              .select("doc_id", *keep, "n_pieces", F.explode("raw_pieces").alias("raw")))
+              .select("doc_id", *keep, "n_pieces", F.explode_outer("raw_pieces").alias("raw")))
     return (pieces.select("doc_id", "n_pieces", *keep, T.strip_symbols("raw").alias("word"))
             .filter(F.col("word") != "")
             .groupBy("doc_id", "word", "n_pieces", *keep)

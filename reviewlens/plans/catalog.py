@@ -246,7 +246,8 @@ from reviewlens.operators import neighbors as nb  # noqa: E402
 @register("analyzed_terms")
 def q_analyzed_terms(spark, sf):
     d = tables.documents(spark, sf)
-    t = d.select("doc_id", F.posexplode(T.analyzed_terms("text")).alias("idx", "word"))
+    t = (d.select("doc_id", F.posexplode_outer(T.analyzed_terms("text")).alias("idx", "word"))
+         .filter(F.col("word").isNotNull()))
     return t.withColumn("is_stop", F.col("word").isin(T.STOP_WORDS))
 
 
