@@ -1,5 +1,7 @@
 """Distributed running sequence numbers.
 
+Needs ``spark.checkpoint.dir`` (a shared folder on a cluster).
+
 A global ``row_number()`` without a partition key moves every row into one
 task.  ``sequence_numbers`` gives the same 0-based numbering by ``order_col``
 with a range shuffle instead: rows are range-partitioned and sorted inside
@@ -13,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.session import checkpoint_dir
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
@@ -24,6 +28,12 @@ def sequence_numbers(df: DataFrame, order_col: str, out: str = "seq",
     ranged = (df.repartitionByRange(n, order_col)
               .sortWithinPartitions(order_col)
               .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds come from sampling the input; the counts and the positions
+    # must see the very same partitioning, so the ranged rows are written once
+    # to the shared checkpoint folder (reliable, survives executor loss) and
+    # both branches read that copy.
+    checkpoint_dir(df.sparkSession)   # the cluster's folder; a scratch one only when unset
+    ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
     # one row per partition: a proven size bound, so broadcasting is safe
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
