@@ -41,7 +41,12 @@ def class_doc_counts(train: DataFrame) -> DataFrame:
 
 
 def _class_size(train: DataFrame, label: str):
-    return train.select(F.count_if(F.col("label") == label)).scalar()
+    """Documents of a class as a scalar subquery; an empty class raises a
+    clear error when the model is evaluated (its probabilities would divide
+    by zero)."""
+    n = train.select(F.count_if(F.col("label") == label)).scalar()
+    return F.when(n > 0, n).otherwise(
+        F.raise_error(F.lit(f"naive Bayes needs training documents of class '{label}'")))
 
 
 def doc_distinct_words(docs: DataFrame, *keep: str) -> DataFrame:
@@ -78,15 +83,6 @@ def occurrence_counts(docs: DataFrame) -> DataFrame:
     return space_tokens(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def check_classes(train: DataFrame) -> None:
-    """Raise when a class has no training document (its probabilities would
-    divide by zero).  One small aggregate action."""
-    row = train.agg(F.count_if(F.col("label") == "pos").alias("p"),
-                    F.count_if(F.col("label") == "neg").alias("n")).first()
-    if not row["p"] or not row["n"]:
-        raise ValueError(f"naive Bayes needs both classes (pos={row['p']}, neg={row['n']})")
-
-
 def bayes_scores(train: DataFrame, test: DataFrame) -> DataFrame:
     """doc_id, score_pos, score_neg: log-space class scores of every test doc."""
     return scores_from_model(word_log_probs(train), test)
