@@ -24,6 +24,7 @@ REGISTRY: dict[str, Query] = {}
 # job (its documented constant).
 SEED = 42
 READ_LIMIT_PER_CLASS = 10000
+PARITY_N_DOCS = 10000   # fixed divisor of the class means in the original job
 
 
 def register(name: str):
@@ -200,6 +201,14 @@ def q_centroid_predict(spark, sf):
     return centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
 
 
+@register("centroid_predict_parity")
+def q_centroid_predict_parity(spark, sf):
+    # the original's constants: means divided by 10,000 and both similarities
+    # computed with the negative-class weights
+    return centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf),
+                                     n_docs=PARITY_N_DOCS, weights="shared_neg")
+
+
 @register("centroid_predict_numbered")
 def q_centroid_predict_numbered(spark, sf):
     p = centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))

@@ -149,8 +149,14 @@ FROM p"""
 STRIP = r"regexp_replace(raw, '[^\p{L}\p{N}]+', '', 'g')"
 
 
-def centroid_ctes(train: str, test: str, tie: str = ">") -> str:
-    """CTEs tf, stats, ttf, iv, xw, sims, cpred for class-mean scoring."""
+def centroid_ctes(train: str, test: str, tie: str = ">", n_docs: int | None = None,
+                  shared_neg: bool = False) -> str:
+    """CTEs tf, stats, ttf, iv, xw, sims, cpred for class-mean scoring.
+    ``n_docs``: constant divisor of the means; ``shared_neg``: both
+    similarities use the negative-class weight."""
+    ncl = (f"SELECT {n_docs} AS n_pos, {n_docs} AS n_neg" if n_docs is not None else
+           f"SELECT count_if(label = 'pos') AS n_pos, count_if(label = 'neg') AS n_neg FROM {train}")
+    xcf = "cf_neg" if shared_neg else "cf_pos"
     return f"""
 pc AS (SELECT doc_id, label, n_pieces, {STRIP} AS word FROM
         (SELECT doc_id, label, len(string_split(rtrim(text, ' '), ' ')) AS n_pieces,
@@ -165,7 +171,7 @@ agg AS (SELECT word,
           sum(CASE WHEN label = 'pos' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_pos,
           sum(CASE WHEN label = 'neg' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_neg
         FROM tf GROUP BY word),
-ncl AS (SELECT count_if(label = 'pos') AS n_pos, count_if(label = 'neg') AS n_neg FROM {train}),
+ncl AS ({ncl}),
 stats AS (SELECT word, cf_pos, cf_neg,
             CASE WHEN cf_pos > 0 THEN (log10(cf_pos) * a_pos - b_pos) / n_pos ELSE 0.0 END AS mean_pos,
             CASE WHEN cf_neg > 0 THEN (log10(cf_neg) * a_neg - b_neg) / n_neg ELSE 0.0 END AS mean_neg
@@ -177,7 +183,7 @@ iv AS (SELECT t.doc_id, t.word, t.f, s.cf_pos, s.cf_neg, s.mean_pos, s.mean_neg,
               sum(t.f) OVER (PARTITION BY t.doc_id) AS count_terms
        FROM ttf t JOIN stats s ON t.word = s.word),
 xw AS (SELECT doc_id, word, mean_pos, mean_neg,
-         CASE WHEN cf_pos > 0 AND cf_neg > 0 THEN f / count_terms * log10(cf_pos / f) ELSE 0.0 END AS x_pos,
+         CASE WHEN cf_pos > 0 AND cf_neg > 0 THEN f / count_terms * log10({xcf} / f) ELSE 0.0 END AS x_pos,
          CASE WHEN cf_pos > 0 AND cf_neg > 0 THEN f / count_terms * log10(cf_neg / f) ELSE 0.0 END AS x_neg
        FROM iv),
 sg AS (SELECT doc_id, sum(least(x_pos, mean_pos)) AS np, sum(greatest(x_pos, mean_pos)) AS dp,
@@ -485,3 +491,7 @@ SELECT k,
            AS acc_knn_sentiment,
        round(avg(CAST((cos_sum > 0) = truth AS DOUBLE)), 9) AS acc_cos
 FROM j GROUP BY k"""
+
+ORACLE["centroid_predict_parity"] = f"""
+WITH {LAB}, {UNL}, {centroid_ctes('lab', 'unl', '>', n_docs=10000, shared_neg=True)}
+SELECT doc_id, prediction FROM cpred"""
