@@ -34,12 +34,11 @@ def test_centroid_matches_sequential(corpus):
     assert _pred(centroid.centroid_predict(lab, unl, tie="pos")) == B.centroid(train, test, "pos")
 
 
-@pytest.mark.parametrize("strategy,qb,db", [("block", 1024, 4096), ("block", 7, 11), ("join", 0, 0)])
-def test_knn_hits_match_brute_force(corpus, strategy, qb, db):
+@pytest.mark.parametrize("qb,db", [(1024, 4096), (7, 11), (1, 1000)])
+def test_knn_hits_match_brute_force(corpus, qb, db):
     lab, unl, train, test = corpus
     k = 9
-    hits = neighbors.knn_hits(lab, unl, k, strategy=strategy, chunk=3,
-                              query_block=qb or 1024, doc_block=db or 4096)
+    hits = neighbors.knn_hits(lab, unl, k, query_block=qb, doc_block=db)
     got = {}
     for r in hits.orderBy("qid", "rn").collect():
         got.setdefault(r.qid, []).append((r.doc_id, r.is_pos, r.score))
@@ -105,3 +104,16 @@ def test_negation_matches_sequential_fold(spark, sf_dir):
             want[(d, i)] = neg
     assert got == want
     assert any(want.values())  # negation does occur in the fixture
+
+
+def test_pair_scores_match_brute_force(corpus):
+    lab, unl, train, test = corpus
+    want = {}
+    for q, hits in B.knn_hits(train, test, 10 ** 9).items():
+        for d, _, sc in hits:
+            want[(q, d)] = sc
+    for qb, db in ((1024, 4096), (5, 13)):
+        got = {(r.qid, r.doc_id): r.score
+               for r in neighbors.pair_scores(lab, unl, query_block=qb, doc_block=db).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[key] - want[key]) < 2e-9 for key in want)

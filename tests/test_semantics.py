@@ -177,37 +177,3 @@ def test_sequence_numbers_match_row_number(spark):
     assert [q for _, q in got] == list(range(5000))
     assert T.zero_padded(F.lit(123456)) is not None
     assert spark.range(1).select(T.zero_padded(F.lit(7)), T.zero_padded(F.lit(123456))).first() == ("00007", "123456")
-
-
-def test_salted_pair_scores_equal_unsalted(spark, sf_dir):
-    from reviewlens.sources import tables
-    lab, unl = tables.labelled(spark, sf_dir), tables.unlabelled(spark, sf_dir)
-    a = {(r.qid, r.doc_id): r.score for r in neighbors.pair_scores(lab, unl, chunk=2).collect()}
-    b = {(r.qid, r.doc_id): r.score for r in neighbors.pair_scores(lab, unl, chunk=10 ** 9).collect()}
-    assert a.keys() == b.keys()
-    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
-
-
-def test_bayes_empty_class_raises_clear_error(spark):
-    tr = df(spark, [(1, "good movie", "pos")], "doc_id long, text string, label string")
-    te = df(spark, [(2, "good")], "doc_id long, text string")
-    with pytest.raises(Exception, match="needs training documents of class 'neg'"):
-        bayes.bayes_predict(tr, te).collect()
-
-
-def test_product_mode_underflows_where_log_space_decides(spark):
-    # 'rare' is in 1 of 3 positive docs and in the only negative doc, 'x' in all.
-    tr = df(spark, [(1, "x rare", "pos"), (2, "x y", "pos"), (3, "x y", "pos"), (4, "x rare", "neg"),
-                    (5, "z", "neg")], "doc_id long, text string, label string")
-    long_review = " ".join(["y"] * 400 + ["rare"] * 400)
-    te = df(spark, [(10, long_review), (11, "y")], "doc_id long, text string")
-    logp = {r.doc_id: r.prediction for r in bayes.bayes_predict(tr, te).collect()}
-    prod = {r.doc_id: r.prediction for r in bayes.bayes_predict_product(tr, te).collect()}
-    # log space: pos = 400 ln(2/3) + 400 ln(1/3), neg = 400 ln(1/2) + 400 ln(1/2) -> neg wins
-    assert logp == {10: 0, 11: 1}
-    # products underflow to 0.0 on both sides for the long review: tie -> negative
-    assert prod == {10: 0, 11: 1}
-    long_pos = " ".join(["y"] * 2000)
-    te2 = df(spark, [(12, long_pos)], "doc_id long, text string")
-    assert bayes.bayes_predict(tr, te2).first().prediction == 1          # 2000 ln(2/3) > 2000 ln(1/2)
-    assert bayes.bayes_predict_product(tr, te2).first().prediction == 0  # both underflow to 0.0
