@@ -78,6 +78,12 @@ def q_holdout_split(spark, sf):
     return evaluate.holdout_split(tables.labelled(spark, sf), SEED).select("doc_id", "label", "split")
 
 
+@register("holdout_split_exact")
+def q_holdout_split_exact(spark, sf):
+    return (evaluate.holdout_split_exact(tables.labelled(spark, sf), SEED)
+            .select("doc_id", "label", "split"))
+
+
 def _bayes_eval(spark, sf):
     train, test = evaluate.train_test(tables.labelled(spark, sf), SEED)
     pred = bayes.bayes_predict(train, test.select("doc_id", "text"))

@@ -92,6 +92,12 @@ SELECT doc_id, prediction FROM pred"""
 ORACLE["holdout_split"] = f"""
 WITH {LAB}, {SPLIT} SELECT doc_id, label, split FROM spl"""
 
+ORACLE["holdout_split_exact"] = f"""
+WITH {LAB},
+num AS (SELECT doc_id, label, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR))) - 1 AS seq,
+               count(*) OVER () AS n FROM lab)
+SELECT doc_id, label, CASE WHEN seq < (n * 9) // 10 THEN 'train' ELSE 'test' END AS split FROM num"""
+
 ORACLE["bayes_confusion"] = f"""
 WITH {LAB}, {SPLIT}, {TRAIN}, {TEST}, {bayes_ctes('trn', 'tst')}, {CONFUSION}
 SELECT tp, tn, fp, fn FROM conf"""

@@ -177,3 +177,12 @@ def test_sequence_numbers_match_row_number(spark):
     assert [q for _, q in got] == list(range(5000))
     assert T.zero_padded(F.lit(123456)) is not None
     assert spark.range(1).select(T.zero_padded(F.lit(7)), T.zero_padded(F.lit(123456))).first() == ("00007", "123456")
+
+
+def test_exact_holdout_takes_nine_tenths(spark):
+    d = spark.range(1003).withColumnRenamed("id", "doc_id").withColumn("text", F.lit("x"))
+    s = evaluate.holdout_split_exact(d.repartition(5), 42)
+    counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
+    assert counts == {"train": 1003 * 9 // 10, "test": 1003 - 1003 * 9 // 10}
+    again = {r.doc_id: r.split for r in evaluate.holdout_split_exact(d, 42).collect()}
+    assert again == {r.doc_id: r.split for r in s.collect()}
