@@ -36,11 +36,12 @@ def write_prediction_lines(pred: DataFrame, out: str, id_col: str = "id",
 
 
 def sweep_lines(sweep: DataFrame) -> DataFrame:
-    """line = 'K acc_knn acc_knn_sentiment acc_cos', ordered by K."""
-    return (sweep.orderBy("k")
-            .select(F.concat_ws(" ", *[F.col(c).cast("string")
-                                       for c in ("k", "acc_knn", "acc_knn_sentiment", "acc_cos")])
-                    .alias("line")))
+    """line = 'K acc_knn acc_knn_sentiment acc_cos', ordered by K; an undefined
+    accuracy (empty evaluation set) is written as NaN."""
+    cols = [F.col("k").cast("string")] + [
+        F.coalesce(F.col(c).cast("string"), F.lit("NaN"))
+        for c in ("acc_knn", "acc_knn_sentiment", "acc_cos")]
+    return sweep.orderBy("k").select(F.concat_ws(" ", *cols).alias("line"))
 
 
 def write_sweep_report(sweep: DataFrame, out: str, mode: str = "errorifexists") -> None:

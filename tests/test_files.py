@@ -115,3 +115,39 @@ def test_preprocess_then_classify_files(spark, scratch):
         lines = _read_lines(res)
         assert [l.split()[0] for l in lines] == ["5_0", "6_0"], method
     assert _read_lines(f"{scratch}/pred_bayes") == ["5_0 1", "6_0 0"]
+
+
+def test_command_line_flow(spark, scratch, capsys):
+    from reviewlens.__main__ import main
+    data = f"{scratch}/data"
+    for i, (cls, text) in enumerate([("pos", "<p>A good, good film</p>"), ("pos", "<p>Good fun</p>"),
+                                     ("pos", "<p>good plot, good cast</p>"),
+                                     ("neg", "<p>Not good. A bad film</p>"), ("neg", "<p>bad plot</p>"),
+                                     ("neg", "<p>bad, bad acting</p>")]):
+        _write(f"{data}/train/{cls}/{i}_1.txt", text)
+    _write(f"{data}/test/7_0.txt", "<p>good</p>")
+    _write(f"{data}/test/8_0.txt", "<p>bad</p>")
+    _write(f"{scratch}/lex.txt", "a 1 0.75 0 good#1\na 2 0 0.5 bad#1\n")
+    _write(f"{scratch}/tags.csv", "token,tag\ngood,JJ\nbad,JJ\nfilm,NN\nfun,NN\nplot,NN\ncast,NN\n"
+                                  "acting,NN\na,DT\nnot,DT\n\",\",.\n.,.\n")
+    out = f"{scratch}/processed"
+    assert main(["preprocess", "--reviews", f"{data}/train/pos", f"{data}/train/neg", f"{data}/test",
+                 "--lexicon", f"{scratch}/lex.txt", "--tags", f"{scratch}/tags.csv", "--out", out],
+                spark) == 0
+    train = [f"{out}/label=pos", f"{out}/label=neg"]
+    # class means: for "good" the negative weight and mean are both 0, so the negative
+    # similarity is 0/0 (undefined -> negative); "bad" is unseen in the positive class
+    want = {"bayes": ["7_0 1", "8_0 0"], "centroid": ["7_0 0", "8_0 0"],
+            "knn": ["7_0 1", "8_0 0"]}
+    for cmd in (["bayes"], ["centroid"], ["knn", "--k", "3", "--rule", "majority"]):
+        res = f"{scratch}/res_{cmd[0]}"
+        assert main(cmd[:1] + ["--train", *train, "--test", f"{out}/label=test", "--out", res]
+                    + cmd[1:], spark) == 0
+        assert _read_lines(res) == want[cmd[0]], cmd
+    assert main(["evaluate", "--train", *train, "--method", "bayes"], spark) == 0
+    assert "accuracy" in capsys.readouterr().out
+    assert main(["sweep", "--train", *train, "--out", f"{scratch}/sweep", "--k-max", "3",
+                 "--seed", "1"], spark) == 0
+    lines = _read_lines(f"{scratch}/sweep")
+    assert [l.split()[0] for l in lines] == ["1", "2", "3"]
+    assert all(len(l.split()) == 4 for l in lines)
