@@ -21,7 +21,7 @@ def new_path(folder: str, suffix: str) -> str:
 def open_output(uri: str) -> pa.NativeFile:
     fs, path = pafs.FileSystem.from_uri(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(path)
+    return fs.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str) -> pa.NativeFile:
