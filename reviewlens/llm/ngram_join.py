@@ -43,6 +43,8 @@ from reviewlens.llm.words import as_bytes, groups, mix, shingles
 SLOTS = 1 << 20
 #: 64-bit words of a set's parity sketch
 SKETCH = 16
+#: sets of more tokens have a longer sketch too
+LONG = 64 * SKETCH
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -107,12 +109,18 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, similarity: Fraction) -
     return np.unique(np.concatenate(out))
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """For each bit the parity of the tokens that fall on it (SKETCH words)."""
-    n = np.bincount((mix(tokens ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+def sketch(tokens: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """For each bit of ``words`` 64-bit words (a power of two) the parity of the tokens that fall on it.  The halves of
+    a longer sketch, one XOR the other, are the sketch of half the words."""
+    n = np.bincount((mix(tokens ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(n.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def long_sketch(tokens: np.ndarray) -> np.ndarray | None:
+    """A sketch of 2 bits a token or more, for sets that would fill a short one."""
+    return sketch(tokens, 1 << (len(tokens) // 32).bit_length()) if len(tokens) > LONG else None
+
+
 def node_of(tokens: np.ndarray) -> int:
     """A 64-bit name of a set (its tokens are mixed and added up, with its size)."""
     return int((mix(mix(tokens) + np.uint64(1)).sum(dtype=np.uint64) ^ mix(np.array([len(tokens)], np.uint64))[0]).astype(np.int64)) if len(tokens) else 0
@@ -125,7 +133,7 @@ def _threshold(a: str, b: str, similarity: Fraction) -> Column:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Fraction) -> DataFrame:
-    """doc_id, node (null for an empty set), n, sketch words s0.., signatures of every row (saved)."""
+    """doc_id, node (null for an empty set), n, sketch words s0.., signatures, long sketch (or null) of every row (saved)."""
     words = ", ".join(f"s{k} long" for k in range(SKETCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +143,11 @@ def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Frac
                 sk = np.array([sketch(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(g.first, len(sets)), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     *(pa.array(sk[:, k]) for k in range(SKETCH)), pa.array([signatures(s, frequent, similarity).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "node", "n", *(f"s{k}" for k in range(SKETCH)), "signatures"])
+                     *(pa.array(sk[:, k]) for k in range(SKETCH)), pa.array([signatures(s, frequent, similarity).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets], pa.list_(pa.int64())),
+                     pa.array([long_sketch(s) for s in sets], pa.list_(pa.int64()))],
+                    ["doc_id", "node", "n", *(f"s{k}" for k in range(SKETCH)), "signatures", "long"])
 
-    return save(docs.mapInArrow(run, f"doc_id long, node long, n long, {words}, signatures array<long>"), "ngram-rows")
+    return save(docs.mapInArrow(run, f"doc_id long, node long, n long, {words}, signatures array<long>, `long` array<long>"), "ngram-rows")
 
 
 def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
@@ -149,6 +158,18 @@ def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
     return _threshold(a + "n", b + "n", similarity) & (differ * (q + p) <= (F.col(a + "n") + F.col(b + "n")) * (q - p))
 
 
+def possible_long(pairs: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
+    """Of the pairs (a, b; saved) those whose long sketches, where both have one, allow the similarity."""
+    p, q = similarity.numerator, similarity.denominator
+    has = nodes.filter("`long` is not null")
+    pairs = pairs.join(has.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("long").alias("al")), "a", "left")
+    pairs = pairs.join(has.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("long").alias("bl")), "b", "left")
+    # the sizes differ by a factor below 2, so the longer sketch is folded once at most
+    folded = "if(size({0}) > size({1}), transform({1}, (x, i) -> {0}[i] ^ {0}[i + size({1})]), {0})"
+    differ = F.expr(f"aggregate(zip_with({folded.format('al', 'bl')}, {folded.format('bl', 'al')}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    return pairs.filter(F.col("al").isNull() | F.col("bl").isNull() | (differ * (q + p) <= (F.col("an") + F.col("bn")) * (q - p))).select("a", "b")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Of the pairs (a, b: nodes; saved) those that have the similarity; docs: doc_id, text; nodes: node, first_id."""
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -206,7 +227,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
         raise ValueError("similarities from 3/4 on")
     found = describe(rows, frequent_tokens(rows.select("text"), width, slots), width, similarity)
     sketch_cols = ["n", *(f"s{k}" for k in range(SKETCH))]
-    equal = found.filter("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in (*sketch_cols, "signatures")])
+    equal = found.filter("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in (*sketch_cols, "signatures", "long")])
     nodes = save(equal, "ngram-nodes")
     postings = nodes.select("node", F.explode("signatures").alias("sig"))
     buckets = postings.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size")).filter("lead <> last")
@@ -223,7 +244,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
         return pairs.join(named("a"), "a").join(named("b"), "b").filter(possible(similarity)).select("a", "b")
 
     stars = save(candidates(shared.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()), "ngram-stars")
-    links = verify(stars, rows, nodes, width, similarity)
+    links = verify(save(possible_long(stars, nodes, similarity), "ngram-likely"), rows, nodes, width, similarity)
     labels = save(components(links, nodes), "ngram-labels")
     # round 2: signatures whose nodes are in several components
     labelled = save(shared.join(labels, "node"), "ngram-labelled")
@@ -239,6 +260,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     second = others.join(everyone, "sig").filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
     second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-second")
     if second.limit(1).count():
+        second = save(possible_long(second, nodes, similarity), "ngram-likely")
         links = save(links.union(verify(second, rows, nodes, width, similarity)), "ngram-all-links")
         labels = save(components(links, nodes), "ngram-all-labels")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links_verified"))
