@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 from reviewlens.llm.common import checked_broadcast, look_up, save
 from reviewlens.llm.words import as_bytes, groups, mix, shingles
 
-SLOTS = 1 << 20
+SLOTS = 1 << 22
 #: 64-bit words of a set's parity sketch
-SKETCH = 16
+SKETCH = 32
 #: sets of more tokens have a longer sketch too
 LONG = 64 * SKETCH
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
@@ -227,16 +227,22 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
         raise ValueError("similarities from 3/4 on")
     found = describe(rows, frequent_tokens(rows.select("text"), width, slots), width, similarity)
     sketch_cols = ["n", *(f"s{k}" for k in range(SKETCH))]
-    equal = found.filter("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in (*sketch_cols, "signatures", "long")])
-    nodes = save(equal, "ngram-nodes")
-    postings = nodes.select("node", F.explode("signatures").alias("sig"))
+    full = found.filter("node is not null")
+    nodes = save(full.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id")), "ngram-nodes")
+    several = checked_broadcast(save(nodes.filter("rows > 1").select("node"), "ngram-several"))
+
+    def one_row_each(*columns: str) -> DataFrame:
+        """The columns of one row of each node: only rows of nodes that have several are shuffled."""
+        rows_of = full.select("node", *columns)
+        return rows_of.join(several, "node", "left_anti").unionByName(rows_of.join(several, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in columns]))
+
+    described = save(one_row_each(*sketch_cols, "long"), "ngram-sketches")
+    postings = one_row_each("signatures").select("node", F.explode("signatures").alias("sig"))
     buckets = postings.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size")).filter("lead <> last")
     buckets = save(buckets, "ngram-buckets")
     # nodes of signatures that several nodes have
     shared = look_up(postings, buckets, "sig", "size", buckets.agg(F.sum("size")).first()[0] or 0).filter("lead is not null")
     shared = save(shared.select("sig", "node", "lead"), "ngram-shared")
-    described = nodes.select("node", *sketch_cols)
-
     def named(prefix: str) -> DataFrame:
         return described.select(F.col("node").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in sketch_cols])
 
@@ -244,7 +250,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
         return pairs.join(named("a"), "a").join(named("b"), "b").filter(possible(similarity)).select("a", "b")
 
     stars = save(candidates(shared.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()), "ngram-stars")
-    links = verify(save(possible_long(stars, nodes, similarity), "ngram-likely"), rows, nodes, width, similarity)
+    links = verify(save(possible_long(stars, described, similarity), "ngram-likely"), rows, nodes, width, similarity)
     labels = save(components(links, nodes), "ngram-labels")
     # round 2: signatures whose nodes are in several components
     labelled = save(shared.join(labels, "node"), "ngram-labelled")
@@ -252,7 +258,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     left = labelled.join(mixed, "sig", "left_semi")
     per_label = left.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     main = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m")).select("sig", F.col("m.label").alias("main"))
-    left = save(left.join(main, "sig").join(described, "node"), "ngram-left")
+    left = save(left.join(main, "sig").join(described.drop("long"), "node"), "ngram-left")
     # all pairs of different components, of which one is not in the signature's largest
     cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in sketch_cols]]
     others = left.filter("label <> main").select("sig", *cols("a"))
@@ -260,7 +266,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     second = others.join(everyone, "sig").filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
     second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-second")
     if second.limit(1).count():
-        second = save(possible_long(second, nodes, similarity), "ngram-likely")
+        second = save(possible_long(second, described, similarity), "ngram-likely")
         links = save(links.union(verify(second, rows, nodes, width, similarity)), "ngram-all-links")
         labels = save(components(links, nodes), "ngram-all-labels")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links_verified"))
