@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.chunks import GROUP_BYTES, ChunkCache, by_text
-from reviewlens.llm.words import as_bytes, groups
+from reviewlens.llm.words import as_bytes, groups, slices
 
 _WORD_END = "</w>"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: answers kept in each worker process; emptied when full
-_PAIRS_KEPT, _PIECES_KEPT = 500_000, 200_000
+_PAIRS_KEPT, _PIECES_KEPT = 200_000, 100_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -212,7 +212,7 @@ def encode_documents(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = load(path)
-        for batch in batches:
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(0)), GROUP_BYTES):
                 made: dict[str, list] = {o: [] for o in outputs}
                 for pieces in by_text(g, cache):

@@ -15,7 +15,7 @@ import numpy as np
 from reviewlens.llm.words import Group
 
 #: chunks kept in each of two generations; the older one goes when the younger is full
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 120_000
 GROUP_BYTES = 1 << 22
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.words import Group, as_bytes, groups
+from reviewlens.llm.words import Group, as_bytes, groups, slices
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -178,9 +178,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     schema = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = as_bytes(batch.column(1))
-            for g in groups([b" " + x.decode("utf-8", "replace").lower().encode() + b"  " for x in raw]):
+            for g in groups([b" " + x.decode("utf-8", "replace").lower().encode() + b"  " for x in raw], 1 << 18):
                 rows = slice(g.first, g.first + len(g.texts))
                 known = np.array([model is not None and has_letter(x) for x in raw[rows]])
                 if model is None:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.common import save
-from reviewlens.llm.words import Group, as_bytes, groups
+from reviewlens.llm.words import Group, as_bytes, groups, slices
 
 TOP = 1024
 FREQUENT = 1 << 20
@@ -271,7 +271,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     log_z = model.log_normalisers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(2))):
                 cols, rest, at = measure(g, v, model, log_z)
                 kept = [batch.column(k).slice(g.first, len(g.texts)) for k in (0, 1, 3)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.words import IS_SPACE, Group, as_bytes, groups
+from reviewlens.llm.words import IS_SPACE, Group, as_bytes, groups, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
@@ -156,7 +156,7 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     their row; other columns are not read; an empty table gives an empty result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(1))):
                 cols = measure(g, window, min_repeat)
                 ids = batch.column(0).slice(g.first, len(g.texts))

@@ -83,6 +83,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows: what a task holds at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 class Group:
     """Some neighbouring texts, joined by \\n: ``data`` (uint8); text i is data[at[i]:at[i + 1] - 1]."""
 
