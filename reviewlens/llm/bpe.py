@@ -35,7 +35,7 @@ from reviewlens.llm.words import as_bytes, groups, slices
 _WORD_END = "</w>"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: answers kept in each worker process; emptied when full
-_PAIRS_KEPT, _PIECES_KEPT = 200_000, 100_000
+_PAIRS_KEPT, _PIECES_KEPT = 200_000, 60_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -89,7 +89,8 @@ class Bpe:
         encoded = [s.encode() + b" " for s in strings]
         self.blob = np.frombuffer(b"".join(encoded), np.uint8)
         self.offset = np.append(0, np.cumsum([len(x) for x in encoded]))
-        self.decimal = [b" %d" % i for i in range(self.size)]
+        decimal = [b"%d " % i for i in range(self.size)]
+        self.decimal, self.decimal_offset = np.frombuffer(b"".join(decimal), np.uint8), np.append(0, np.cumsum([len(x) for x in decimal]))
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def fits(self, left: int, right: int) -> bool:
@@ -165,11 +166,20 @@ class Bpe:
                 out += ids
         return out
 
+    @staticmethod
+    def _strings(blob: np.ndarray, offset: np.ndarray, ids: np.ndarray) -> bytes:
+        first = offset[ids]
+        n = offset[ids + 1] - first
+        to = np.cumsum(n)
+        return blob[np.arange(int(to[-1]) if len(to) else 0) + np.repeat(first - to + n, n)].tobytes()
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """Each token's string and a space after it."""
-        n = self.offset[ids + 1] - self.offset[ids]
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.offset[ids], n)
-        return self.blob[at].tobytes()
+        return self._strings(self.blob, self.offset, ids)
+
+    def decimal_bytes(self, ids: np.ndarray) -> bytes:
+        """Each id in decimal and a space after it."""
+        return self._strings(self.decimal, self.decimal_offset, ids)
 
     def decode(self, ids: list[int]) -> str:
         return self.decode_bytes(np.asarray(ids, np.int64))[:-1].decode()
@@ -180,17 +190,15 @@ def load(path: str) -> tuple[Bpe, ChunkCache]:
     """One encoder and cache for each worker process."""
     bpe = Bpe(path)
 
-    def pieces(chunks: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
+    def pieces(chunks: list[bytes]) -> list[bytes]:
+        """Each chunk's ids (int32)."""
         all_ids: list[int] = []
         at = [0]
         for c in chunks:
             all_ids += bpe.encode_chunk(c)
             at.append(len(all_ids))
-        ids = np.asarray(all_ids, np.int64)
-        binary, strings = ids.astype(np.int32).tobytes(), bpe.decode_bytes(ids)
-        to = np.append(0, np.cumsum(bpe.offset[ids + 1] - bpe.offset[ids]))[at].tolist()
-        decimal = [bpe.decimal[i] for i in all_ids]
-        return [(binary[4 * a:4 * b], b"".join(decimal[a:b]), strings[x:y]) for a, b, x, y in zip(at, at[1:], to, to[1:])]
+        binary = np.asarray(all_ids, np.int32).tobytes()
+        return [binary[4 * a:4 * b] for a, b in zip(at, at[1:])]
 
     return bpe, ChunkCache(pieces)
 
@@ -211,22 +219,22 @@ def encode_documents(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]] + [f"{o} {_TYPES[o][0]}" for o in outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, cache = load(path)
+        bpe, cache = load(path)
         for batch in slices(batches):
             for g in groups(as_bytes(batch.column(0)), GROUP_BYTES):
                 made: dict[str, list] = {o: [] for o in outputs}
                 for pieces in by_text(g, cache):
-                    ids = b"".join([p[0] for p in pieces])
-                    decoded = b"".join([p[2] for p in pieces])[:-1] if "decoded" in made or "decoded_sha256" in made else b""
+                    ids = np.frombuffer(b"".join(pieces), np.int32)
+                    decoded = bpe.decode_bytes(ids)[:-1] if "decoded" in made or "decoded_sha256" in made else b""
                     for o, to in made.items():
                         if o == "n_tokens":
-                            to.append(len(ids) // 4)
+                            to.append(len(ids))
                         elif o == "ids":
-                            to.append(np.frombuffer(ids, np.int32))
+                            to.append(ids)
                         elif o == "decoded":
                             to.append(decoded.decode())
                         elif o == "ids_sha256":
-                            to.append(hashlib.sha256(b"".join([p[1] for p in pieces])[1:]).hexdigest())
+                            to.append(hashlib.sha256(bpe.decimal_bytes(ids)[:-1]).hexdigest())
                         else:
                             to.append(hashlib.sha256(decoded).hexdigest())
                 kept = [batch.column(k).slice(g.first, len(g.texts)) for k in range(1, batch.num_columns)]
