@@ -22,8 +22,10 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null text, no letter) or below the calibrated threshold go."""
-    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
-    return langid.predict(rows, langid.train(docs), keep=("row",)).filter("not rejected").select("row.*")
+    # the text goes to the tasks' Python once, the other columns beside it as one struct
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    found = langid.predict(rows, langid.train(docs), keep=("row",), keep_text=True).filter("not rejected")
+    return found.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

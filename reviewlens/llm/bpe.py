@@ -239,6 +239,8 @@ def encode_documents(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_
                             to.append(hashlib.sha256(decoded).hexdigest())
                 kept = [batch.column(k).slice(g.first, len(g.texts)) for k in range(1, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, _TYPES[o][1]) for o, v in made.items())], [*keep, *outputs])
+        cache.rest()
+        bpe.pieces.clear()
 
     return rows.mapInArrow(run, schema)
 

@@ -46,6 +46,10 @@ class ChunkCache:
             self.old, self.young = young, {}
         return out
 
+    def rest(self) -> None:
+        """At a task's end: free the older generation, as the worker may run other code next."""
+        self.old = {}
+
 
 def by_text(g: Group, cache: ChunkCache) -> list[list]:
     """The pieces of every text of a group, in order."""

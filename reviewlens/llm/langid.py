@@ -167,8 +167,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit([(a, np.asarray(b.values), np.asarray(c.values)) for a, b, c in zip(rows["lang"].to_pylist(), *([x for x in rows[k].combine_chunks()] for k in ("bucket", "n")), strict=True)]) if rows.num_rows else None
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score, rejected for each row of docs, with the columns ``keep`` of docs after them.
+def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score, rejected for each row of docs, with the columns ``keep`` of docs after them
+    (and the text, if ``keep_text``).
 
     ``und`` with score 0, rejected: null text, no letter, or no model (nothing
     to learn from).  Otherwise the likeliest language, its calibrated
@@ -191,8 +192,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 lang = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
                 rejected = ~known | (score < (model.threshold if model else 0))
                 rest = [batch.column(k).slice(g.first, len(g.texts)) for k in range(2, batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(g.first, len(g.texts)), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), *rest],
-                                                 ["doc_id", "lang_pred", "score", "rejected", *keep])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(g.first, len(g.texts)), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), *rest, *([batch.column(1).slice(g.first, len(g.texts))] if keep_text else [])],
+                                                 ["doc_id", "lang_pred", "score", "rejected", *keep, *(["text"] if keep_text else [])])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields[2:])
-    return schema.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean" + (", " + kept if kept else ""))
+    return schema.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean" + (", " + kept if kept else "") + (", text string" if keep_text else ""))
