@@ -36,7 +36,8 @@ CONTENT_TAG_PATTERN = r"^(JJ|RB|NN|V)"
 # HTML clean-up, applied in this order.
 HTML_COMMENT = r"(?is)<!--.*?-->"
 HTML_SCRIPT_STYLE = r"(?is)<(script|style)\b.*?</(script|style)>"
-HTML_TAG = r"(?s)<[^>]*>"
+# a "<" that opens no tag ("<3", "a < b") is text
+HTML_TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 # Named/numeric entities decoded after tag removal; "&amp;" last so that
 # "&amp;lt;" becomes "&lt;" and not "<".
 HTML_ENTITIES = [

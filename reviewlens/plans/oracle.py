@@ -354,7 +354,7 @@ TOKRE = r"'[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'"
 
 def html_sql(col: str) -> str:
     x = (f"regexp_replace(regexp_replace(regexp_replace({col}, '(?is)<!--.*?-->', '', 'g'), "
-         f"'(?is)<(script|style)\\b.*?</(script|style)>', '', 'g'), '(?s)<[^>]*>', '', 'g')")
+         f"'(?is)<(script|style)\\b.*?</(script|style)>', '', 'g'), '(?s)<([a-zA-Z]|[/!?])[^>]*>', '', 'g')")
     for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"),
                     ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&copy;", "chr(169)"),
                     ("&middot;", "chr(183)"), ("&amp;", "'&'")]:

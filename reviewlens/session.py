@@ -56,7 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # unset: only in local tests / bench runs
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="reviewlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

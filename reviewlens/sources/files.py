@@ -42,26 +42,32 @@ def read_scored_reviews(spark: SparkSession, paths, strict: bool = True,
     ``write_scored_reviews`` (an optional ``id`` field overrides the file
     name; ``label=pos`` folders count as class folders).
 
-    ``strict=True``: a malformed file or a missing ``text`` raises when the
-    rows are computed.  ``strict=False``: such files are skipped.
-    ``limit``: the first ``limit`` files in path order (None = all)."""
+    ``strict=True``: a malformed file, a missing ``text`` or a missing score
+    raises when rows are computed, whichever columns are selected.
+    ``strict=False``: files without a readable ``text`` are skipped; a score
+    that is missing or no number is 0.0.
+    ``limit``: the first ``limit`` reviews by (path, id) (None = all)."""
     # a one-object file is one JSON line, so line mode reads both layouts
-    reader = (spark.read.schema(SCORED_SCHEMA)
+    # lenient: scores are read as text, so a bad one does not drop its review
+    schema = SCORED_SCHEMA if strict else ST.StructType(
+        [ST.StructField(f.name, ST.StringType()) for f in SCORED_SCHEMA])
+    reader = (spark.read.schema(schema)
               .option("mode", "FAILFAST" if strict else "DROPMALFORMED"))
     df = reader.json(_paths(paths))
     path = F.col("_metadata.file_path")
     text = F.col("text")
     if strict:
-        text = F.when(text.isNull(),
-                      F.raise_error(F.concat(F.lit("review without text: "), path))).otherwise(text)
+        missing = text.isNull() | F.col("pos_score").isNull() | F.col("neg_score").isNull()
+        df = df.filter(F.when(missing, F.raise_error(F.concat(F.lit("review without text or score: "), path)).cast("boolean"))
+                       .otherwise(F.lit(True)))
     else:
         df = df.filter(F.col("text").isNotNull())
     out = df.select(path.alias("path"), F.coalesce("id", T.id_from_path(path)).alias("id"),
                     T.label_from_path(path).alias("label"), text.alias("text"),
-                    F.coalesce("pos_score", F.lit(0.0)).alias("pos_score"),
-                    F.coalesce("neg_score", F.lit(0.0)).alias("neg_score"))
+                    F.coalesce(F.col("pos_score").try_cast("double"), F.lit(0.0)).alias("pos_score"),
+                    F.coalesce(F.col("neg_score").try_cast("double"), F.lit(0.0)).alias("neg_score"))
     if limit is not None:
-        out = out.orderBy("path").limit(limit)
+        out = out.orderBy("path", "id").limit(limit)
     return out
 
 
