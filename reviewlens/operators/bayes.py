@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text as T
+from reviewlens.operators.joins import dealt_anew
 
-# Decision margin: score differences are rounded to this many decimals before
-# the strict comparison, so summation order cannot flip an exact tie.
-DECISION_DECIMALS = 6
+# Decision margin as a share of the scores' magnitudes: what the order of a sum
+# may change, so it cannot flip an exact tie.
+DECISION_SHARE = 1e-12
 
 
 def space_tokens(docs: DataFrame, *keep: str) -> DataFrame:
@@ -85,7 +86,7 @@ def occurrence_counts(docs: DataFrame) -> DataFrame:
 
 def bayes_scores(train: DataFrame, test: DataFrame) -> DataFrame:
     """doc_id, score_pos, score_neg: log-space class scores of every test doc."""
-    return scores_from_model(word_log_probs(train), test)
+    return scores_from_model(dealt_anew(word_log_probs(train), "word"), test)
 
 
 def scores_from_model(model: DataFrame, test: DataFrame) -> DataFrame:
@@ -108,10 +109,10 @@ def bayes_predict(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def decide(s: DataFrame) -> DataFrame:
-    return s.select(
-        "doc_id",
-        (F.round(F.col("score_pos") - F.col("score_neg"), DECISION_DECIMALS) > 0)
-        .cast("int").alias("prediction"))
+    """doc_id, prediction: positive iff score_pos is above score_neg."""
+    margin = DECISION_SHARE * (F.abs("score_pos") + F.abs("score_neg"))
+    return s.select("doc_id", (F.col("score_pos") - F.col("score_neg") > margin)
+                    .cast("int").alias("prediction"))
 
 
 def bayes_predict_product(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def bayes_predict_product(train: DataFrame, test: DataFrame) -> DataFrame:
         "word",
         (F.greatest(F.col("df_pos"), F.lit(1)) / n_pos).alias("p_pos"),
         (F.greatest(F.col("df_neg"), F.lit(1)) / n_neg).alias("p_neg"))
-    prods = (occurrence_counts(test).join(p, "word")
+    prods = (occurrence_counts(test).join(dealt_anew(p, "word"), "word")
              .groupBy("doc_id")
              .agg(F.product(F.pow("p_pos", "n")).alias("prob_pos"),
                   F.product(F.pow("p_neg", "n")).alias("prob_neg")))

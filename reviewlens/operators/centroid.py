@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text as T
+from reviewlens.operators.joins import dealt_anew
 
-DECISION_DECIMALS = 9
+# Decision margin as a share of the larger similarity (see bayes.DECISION_SHARE)
+DECISION_SHARE = 1e-12
 
 
 def clean_tokens(docs: DataFrame, *keep: str) -> DataFrame:
@@ -75,6 +77,8 @@ def class_stats(train: DataFrame, n_docs: int | None = None) -> DataFrame:
     g = tf.groupBy("word").agg(
         F.sum(F.when(is_pos, F.col("f")).otherwise(0)).cast("bigint").alias("cf_pos"),
         F.sum(F.when(is_neg, F.col("f")).otherwise(0)).cast("bigint").alias("cf_neg"),
+        F.max(F.when(is_pos, F.col("f"))).alias("m_pos"),
+        F.max(F.when(is_neg, F.col("f"))).alias("m_neg"),
         F.sum(F.when(is_pos, rel).otherwise(0.0)).alias("a_pos"),
         F.sum(F.when(is_neg, rel).otherwise(0.0)).alias("a_neg"),
         F.sum(F.when(is_pos, rel * F.log10("f")).otherwise(0.0)).alias("b_pos"),
@@ -85,20 +89,21 @@ def class_stats(train: DataFrame, n_docs: int | None = None) -> DataFrame:
     else:
         n_pos = n_neg = F.lit(n_docs)
 
-    def mean(cf, a, b, n):
-        return F.when(F.col(cf) > 0,
+    def mean(cf, m, a, b, n):
+        # a word of one document only has log10(1): exactly 0, without rounding noise
+        return F.when(F.col(cf) > F.col(m),
                       (F.log10(F.col(cf)) * F.col(a) - F.col(b)) / n).otherwise(F.lit(0.0))
 
     return g.select("word", "cf_pos", "cf_neg",
-                    mean("cf_pos", "a_pos", "b_pos", n_pos).alias("mean_pos"),
-                    mean("cf_neg", "a_neg", "b_neg", n_neg).alias("mean_neg"))
+                    mean("cf_pos", "m_pos", "a_pos", "b_pos", n_pos).alias("mean_pos"),
+                    mean("cf_neg", "m_neg", "a_neg", "b_neg", n_neg).alias("mean_neg"))
 
 
 def in_vocab_counts(stats: DataFrame, test: DataFrame) -> DataFrame:
     """doc_id, word, f, count_terms, + the word's statistics: test terms that
     are in the training vocabulary, with T(d) = in-vocabulary token count."""
     tf = doc_term_counts(test).select("doc_id", "word", "f")
-    j = tf.join(stats, "word")
+    j = tf.join(dealt_anew(stats, "word"), "word")
     return j.withColumn("count_terms", F.sum("f").over(Window.partitionBy("doc_id")))
 
 
@@ -132,8 +137,8 @@ def weighted_jaccard(stats: DataFrame, test: DataFrame, weights: str = "per_clas
 
 
 def decide(sim_pos, sim_neg, tie: str = "neg"):
-    d = F.round(sim_pos - sim_neg, DECISION_DECIMALS)
-    rule = d > 0 if tie == "neg" else d >= 0
+    d, margin = sim_pos - sim_neg, DECISION_SHARE * F.greatest(F.abs(sim_pos), F.abs(sim_neg))
+    rule = d > margin if tie == "neg" else d >= -margin
     return F.coalesce(rule, F.lit(False)).cast("int")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import text as T
 from reviewlens.operators import bayes, evaluate
+from reviewlens.sinks import writers
 from reviewlens.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,7 @@ REGISTRY: dict[str, Query] = {}
 # job (its documented constant).
 SEED = 42
 READ_LIMIT_PER_CLASS = 10000
+SHOWN_LIMIT_PER_CLASS = 50   # of the query limited_docs, so that it cuts
 PARITY_N_DOCS = 10000   # fixed divisor of the class means in the original job
 
 
@@ -105,9 +107,8 @@ def q_bayes_accuracy(spark, sf):
 @register("bayes_prediction_lines")
 def q_bayes_prediction_lines(spark, sf):
     p = bayes.bayes_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
-    rid = F.col("doc_id").cast("string")
-    return p.select(rid.alias("id"),
-                    F.concat_ws(" ", rid, F.col("prediction").cast("string")).alias("line"))
+    lines = writers.prediction_lines(p, "doc_id")
+    return lines.select(F.split_part("line", F.lit(" "), F.lit(1)).alias("id"), "line")
 
 
 @register("bayes_scores_product")
@@ -129,12 +130,16 @@ def q_train_union(spark, sf):
     return u.select("doc_id", "label", F.md5("text").alias("text_md5"))
 
 
+def limited(labelled: DataFrame, per_class: int = READ_LIMIT_PER_CLASS) -> DataFrame:
+    """The first ``per_class`` reviews of each class by doc_id."""
+    parts = [labelled.filter(F.col("label") == c).orderBy("doc_id").limit(per_class)
+             for c in ("neg", "pos")]
+    return parts[0].unionByName(parts[1])
+
+
 @register("limited_docs")
 def q_limited_docs(spark, sf):
-    lab = tables.labelled(spark, sf)
-    parts = [lab.filter(F.col("label") == c).orderBy("doc_id").limit(READ_LIMIT_PER_CLASS)
-             for c in ("neg", "pos")]
-    return parts[0].unionByName(parts[1]).select("doc_id", "label")
+    return limited(tables.labelled(spark, sf), SHOWN_LIMIT_PER_CLASS).select("doc_id", "label")
 
 
 @register("review_id_from_path")

@@ -43,7 +43,7 @@ sc AS (SELECT t.doc_id, coalesce(s.score_pos, 0.0) AS score_pos, coalesce(s.scor
         (SELECT doc_id, sum(n * lp_pos) AS score_pos, sum(n * lp_neg) AS score_neg,
                 product(pow(p_pos, n)) AS prob_pos, product(pow(p_neg, n)) AS prob_neg
          FROM occ JOIN lp USING (word) GROUP BY doc_id) s ON t.doc_id = s.doc_id),
-pred AS (SELECT doc_id, CAST(round(score_pos - score_neg, 6) > 0 AS INTEGER) AS prediction FROM sc)"""
+pred AS (SELECT doc_id, CAST(score_pos - score_neg > 1e-12 * (abs(score_pos) + abs(score_neg)) AS INTEGER) AS prediction FROM sc)"""
 
 
 CONFUSION = """
@@ -134,7 +134,7 @@ ORACLE["limited_docs"] = f"""
 WITH {LAB}
 SELECT doc_id, label FROM (
   SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS rn FROM lab)
-WHERE rn <= 10000"""
+WHERE rn <= 50"""
 
 ORACLE["review_id_from_path"] = """
 SELECT page_id, split_part(string_split(url, '/')[-1], '.', 1) AS id FROM pages"""
@@ -169,19 +169,16 @@ pc AS (SELECT doc_id, label, n_pieces, {STRIP} AS word FROM
                 unnest(string_split(text, ' ')) AS raw FROM {train})),
 tf AS (SELECT doc_id, label, word, n_pieces, count(*) AS f FROM pc WHERE word <> ''
        GROUP BY doc_id, label, word, n_pieces),
-agg AS (SELECT word,
+cfs AS (SELECT word,
           CAST(sum(CASE WHEN label = 'pos' THEN f ELSE 0 END) AS BIGINT) AS cf_pos,
-          CAST(sum(CASE WHEN label = 'neg' THEN f ELSE 0 END) AS BIGINT) AS cf_neg,
-          sum(CASE WHEN label = 'pos' THEN f / n_pieces ELSE 0.0 END) AS a_pos,
-          sum(CASE WHEN label = 'neg' THEN f / n_pieces ELSE 0.0 END) AS a_neg,
-          sum(CASE WHEN label = 'pos' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_pos,
-          sum(CASE WHEN label = 'neg' THEN f / n_pieces * log10(f) ELSE 0.0 END) AS b_neg
+          CAST(sum(CASE WHEN label = 'neg' THEN f ELSE 0 END) AS BIGINT) AS cf_neg
         FROM tf GROUP BY word),
+sums AS (SELECT word, cf_pos, cf_neg,
+          sum(CASE WHEN label = 'pos' THEN f / n_pieces * log10(cf_pos / f) ELSE 0.0 END) AS sum_pos,
+          sum(CASE WHEN label = 'neg' THEN f / n_pieces * log10(cf_neg / f) ELSE 0.0 END) AS sum_neg
+        FROM tf JOIN cfs USING (word) GROUP BY word, cf_pos, cf_neg),
 ncl AS ({ncl}),
-stats AS (SELECT word, cf_pos, cf_neg,
-            CASE WHEN cf_pos > 0 THEN (log10(cf_pos) * a_pos - b_pos) / n_pos ELSE 0.0 END AS mean_pos,
-            CASE WHEN cf_neg > 0 THEN (log10(cf_neg) * a_neg - b_neg) / n_neg ELSE 0.0 END AS mean_neg
-          FROM agg, ncl),
+stats AS (SELECT word, cf_pos, cf_neg, sum_pos / n_pos AS mean_pos, sum_neg / n_neg AS mean_neg FROM sums, ncl),
 ttf AS (SELECT doc_id, word, count(*) AS f FROM
          (SELECT doc_id, {STRIP} AS word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS raw FROM {test}))
         WHERE word <> '' GROUP BY doc_id, word),
@@ -199,7 +196,7 @@ sims AS (SELECT t.doc_id,
            CASE WHEN sg.dp = 0 THEN NULL ELSE sg.np / sg.dp END AS sim_pos,
            CASE WHEN sg.dn = 0 THEN NULL ELSE sg.nn / sg.dn END AS sim_neg
          FROM {test} t LEFT JOIN sg ON t.doc_id = sg.doc_id),
-cpred AS (SELECT doc_id, CAST(coalesce(round(sim_pos - sim_neg, 9) {tie} 0, false) AS INTEGER) AS prediction
+cpred AS (SELECT doc_id, CAST(coalesce(sim_pos - sim_neg {tie} {'-' if '=' in tie else ''}1e-12 * greatest(abs(sim_pos), abs(sim_neg)), false) AS INTEGER) AS prediction
           FROM sims)"""
 
 

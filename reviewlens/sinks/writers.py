@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 
 def write_scored_reviews(df: DataFrame, out: str, mode: str = "errorifexists") -> None:
-    """Scored reviews as JSON objects {text, pos_score, neg_score, id},
-    partitioned by ``split`` and ``label`` when those columns exist."""
+    """Scored reviews as JSON objects {text, pos_score, neg_score, id, source}
+    (source: the path of the raw review, which tells equal ids apart), partitioned by ``split`` and ``label`` when those columns exist."""
     parts = [c for c in ("split", "label") if c in df.columns]
-    cols = [c for c in ("id", "text", "pos_score", "neg_score") if c in df.columns]
+    cols = [c for c in ("id", "source", "text", "pos_score", "neg_score") if c in df.columns]
     w = df.select(*cols, *parts).write.mode(mode)
     if parts:
         w = w.partitionBy(*parts)

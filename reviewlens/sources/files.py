@@ -17,6 +17,7 @@ SCORED_SCHEMA = ST.StructType([
     ST.StructField("pos_score", ST.DoubleType()),
     ST.StructField("neg_score", ST.DoubleType()),
     ST.StructField("id", ST.StringType()),
+    ST.StructField("source", ST.StringType()),
 ])
 
 
@@ -40,7 +41,8 @@ def read_scored_reviews(spark: SparkSession, paths, strict: bool = True,
     """path, id, label, text, pos_score, neg_score from scored-JSON reviews:
     one JSON object per file, or JSON lines as written by
     ``write_scored_reviews`` (an optional ``id`` field overrides the file
-    name; ``label=pos`` folders count as class folders).
+    name, an optional ``source`` field the path; ``label=pos`` folders count as
+    class folders).
 
     ``strict=True``: a malformed file, a missing ``text`` or a missing score
     raises when rows are computed, whichever columns are selected.
@@ -62,7 +64,7 @@ def read_scored_reviews(spark: SparkSession, paths, strict: bool = True,
                        .otherwise(F.lit(True)))
     else:
         df = df.filter(F.col("text").isNotNull())
-    out = df.select(path.alias("path"), F.coalesce("id", T.id_from_path(path)).alias("id"),
+    out = df.select(F.coalesce("source", path).alias("path"), F.coalesce("id", T.id_from_path(path)).alias("id"),
                     T.label_from_path(path).alias("label"), text.alias("text"),
                     F.coalesce(F.col("pos_score").try_cast("double"), F.lit(0.0)).alias("pos_score"),
                     F.coalesce(F.col("neg_score").try_cast("double"), F.lit(0.0)).alias("neg_score"))
