@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.chunks import GROUP_BYTES, ChunkCache, by_text
-from reviewlens.llm.words import as_bytes, groups, slices
+from reviewlens.llm.words import as_bytes, groups, lean, slices
 
 _WORD_END = "</w>"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -242,7 +242,7 @@ def encode_documents(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_
         cache.rest()
         bpe.pieces.clear()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -256,4 +256,4 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "dec
             texts = [bpe.decode(x or []) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], [*keep, out])
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(lean(run), schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.words import Group, as_bytes, groups, slices
+from reviewlens.llm.words import Group, as_bytes, groups, lean, slices
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -107,7 +107,7 @@ def training_rows(labelled: DataFrame, rows_per_lang: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(g.first, len(g.texts)), *(pa.array([e[k].astype(np.int32) for e in each], pa.list_(pa.int32())) for k in (0, 1))],
                                                  ["lang", "bucket", "n"])
 
-    return chosen.mapInArrow(run, "lang string, bucket array<int>, n array<int>")
+    return chosen.mapInArrow(lean(run), "lang string, bucket array<int>, n array<int>")
 
 
 def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 11) -> Model | None:
@@ -196,4 +196,4 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                                                  ["doc_id", "lang_pred", "score", "rejected", *keep, *(["text"] if keep_text else [])])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields[2:])
-    return schema.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean" + (", " + kept if kept else "") + (", text string" if keep_text else ""))
+    return schema.mapInArrow(lean(run), "doc_id long, lang_pred string, score double, rejected boolean" + (", " + kept if kept else "") + (", text string" if keep_text else ""))

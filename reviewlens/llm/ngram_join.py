@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.common import checked_broadcast, look_up, save
-from reviewlens.llm.words import as_bytes, groups, mix, shingles
+from reviewlens.llm.words import as_bytes, groups, lean, mix, shingles, slices
 
 SLOTS = 1 << 22
 #: 64-bit words of a set's parity sketch
@@ -54,14 +54,19 @@ def frequent_tokens(texts: DataFrame, width: int, slots: int = SLOTS) -> np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for g in groups(as_bytes(batch.column(0))) for s in sets_of(g, width)]
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            total = int(n.sum())
+            sets = [s for part in slices([batch]) for g in groups(as_bytes(part.column(0))) for s in sets_of(g, width)]
+            tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            del sets
+            tokens.sort()
+            total = len(tokens)
+            first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if total else np.zeros(0, np.int64)
+            n = np.diff(first, append=total)
+            tokens = tokens[first]
             often = n >= max(2, total / slots)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(tokens[often].view(np.int64), 0)), pa.array(np.append(n[often], total).astype(np.int64)), pa.array(np.append(np.ones(often.sum(), bool), False))],
                                              ["token", "n", "is_token"])
 
-    counts = save(texts.mapInArrow(run, "token long, n long, is_token boolean").groupBy("is_token", "token").agg(F.sum("n").alias("n")), "ngram-frequent")
+    counts = save(texts.mapInArrow(lean(run), "token long, n long, is_token boolean").groupBy("is_token", "token").agg(F.sum("n").alias("n")), "ngram-frequent")
     total = counts.filter("not is_token").agg(F.sum("n")).first()[0] or 0
     chosen = counts.filter(F.col("is_token") & (F.col("n") >= max(16, total / slots))).select("token").toArrow()  # ``slots`` at most
     return np.sort(chosen["token"].to_numpy().view(np.uint64)) if chosen.num_rows else np.zeros(0, np.uint64)
@@ -137,7 +142,7 @@ def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Frac
     words = ", ".join(f"s{k} long" for k in range(SKETCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(1)), 1 << 22):
                 sets = list(sets_of(g, width))
                 sk = np.array([sketch(s) for s in sets])
@@ -147,7 +152,7 @@ def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Frac
                      pa.array([long_sketch(s) for s in sets], pa.list_(pa.int64()))],
                     ["doc_id", "node", "n", *(f"s{k}" for k in range(SKETCH)), "signatures", "long"])
 
-    return save(docs.mapInArrow(run, f"doc_id long, node long, n long, {words}, signatures array<long>, `long` array<long>"), "ngram-rows")
+    return save(docs.mapInArrow(lean(run), f"doc_id long, node long, n long, {words}, signatures array<long>, `long` array<long>"), "ngram-rows")
 
 
 def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
@@ -177,12 +182,12 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, simi
     texts = docs.join(involved, docs["doc_id"].eqNullSafe(involved["first_id"]), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(1)), 1 << 22):
                 sets = [s.view(np.int64) for s in sets_of(g, width)]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(s.view(np.uint64)) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "tokens"])
 
-    sets = texts.select("doc_id", "text").mapInArrow(run, "node long, tokens array<long>")
+    sets = texts.select("doc_id", "text").mapInArrow(lean(run), "node long, tokens array<long>")
     sets = save(sets.join(involved, "node", "left_semi").dropDuplicates(["node"]), "ngram-sets")
     # a is a star's centre in many pairs: its pairs are dealt over as many salts as they need
     per = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select(F.col("a").alias("node"), F.ceil(F.col("n") / 256).alias("parts"))
