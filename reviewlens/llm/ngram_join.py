@@ -45,6 +45,8 @@ SLOTS = 1 << 22
 SKETCH = 32
 #: sets of more tokens have a longer sketch too
 LONG = 64 * SKETCH
+#: sketch words of postings by grade of their sets' sizes: the fewest whose random halves still exceed the bits that linked sets may differ in
+GRADES = (8, 16, SKETCH)
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -163,6 +165,34 @@ def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
     return _threshold(a + "n", b + "n", similarity) & (differ * (q + p) <= (F.col(a + "n") + F.col(b + "n")) * (q - p))
 
 
+def graded(rows: DataFrame, similarity: Fraction) -> DataFrame:
+    """rows (n, s0..) with ``grade``; the sketch is folded to the words of the grade, the others are 0 (and take no room on disk).
+
+    A grade holds the sets up to a size, and those that may have a partner up to it, so these have a row in the next
+    grade too: linked sets are in one grade together.
+    """
+    share = 2 * (1 - similarity) / (1 + similarity)
+    most = [int(64 * w / (share * Fraction(12, 5))) for w in GRADES[:-1]]
+    least = [0, *most]
+    ends = [int(m / similarity) for m in most]
+    in_grade = [(F.col("n") > lo) & (F.col("n") <= hi) for lo, hi in zip(least, ends)] + [F.col("n") > least[-1]]
+    grades = F.filter(F.array(*[F.when(c, F.lit(g)) for g, c in enumerate(in_grade)]), lambda g: g.isNotNull())
+
+    def word(k: int) -> Column:
+        out = F.lit(0).cast("long")
+        for g, w in enumerate(GRADES):
+            if k < w:
+                folded = F.col(f"s{k}")
+                for j in range(k + w, SKETCH, w):
+                    folded = folded.bitwiseXOR(F.col(f"s{j}"))
+                out = F.when(F.col("grade") == g, folded).otherwise(out)
+        return out
+
+    names = [f"s{k}" for k in range(SKETCH)]
+    rows = rows.withColumn("grade", F.explode(grades))
+    return rows.select(*[F.col(c) for c in rows.columns if c not in names], *[word(k).alias(f"s{k}") for k in range(SKETCH)])
+
+
 def possible_long(pairs: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
     """Of the pairs (a, b; saved) those whose long sketches, where both have one, allow the similarity."""
     p, q = similarity.numerator, similarity.denominator
@@ -263,12 +293,12 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     left = labelled.join(mixed, "sig", "left_semi")
     per_label = left.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
     main = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m")).select("sig", F.col("m.label").alias("main"))
-    left = save(left.join(main, "sig").join(described.drop("long"), "node"), "ngram-left")
+    left = save(left.join(main, "sig").join(graded(described.drop("long"), similarity), "node"), "ngram-left")
     # all pairs of different components, of which one is not in the signature's largest
     cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in sketch_cols]]
-    others = left.filter("label <> main").select("sig", *cols("a"))
-    everyone = left.select("sig", (F.col("label") == F.col("main")).alias("in_main"), *cols("b"))
-    second = others.join(everyone, "sig").filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
+    others = left.filter("label <> main").select("sig", "grade", *cols("a"))
+    everyone = left.select("sig", "grade", (F.col("label") == F.col("main")).alias("in_main"), *cols("b"))
+    second = others.join(everyone, ["sig", "grade"]).filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
     second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-second")
     if second.limit(1).count():
         second = save(possible_long(second, described, similarity), "ngram-likely")

@@ -89,6 +89,26 @@ def test_ngram_join(spark, width, t, slots):
     assert got == brute_components(rows, width, t)
 
 
+@pytest.mark.parametrize("t", [Fraction(9, 10), Fraction(4, 5)])
+def test_graded_sketches_keep_links(spark, t):
+    """Linked sets of any sizes, also on both sides of a grade's end, share a grade in which their sketches allow the link."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in [1, 9, 400, *range(900, 1100, 40), *range(1800, 2300, 40), *range(3700, 4600, 80), 9000]:
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        keep = base[: max(1, -(-n * t.numerator // t.denominator))]  # a subset that is just similar enough
+        more = np.append(base, rng.integers(0, 1 << 63, int(n / t) - n, dtype=np.uint64))
+        sets += [(2 * n, 0, base), (2 * n, 1, keep), (2 * n + 1, 0, base), (2 * n + 1, 1, more)]
+    rows = [(pair, side, len(x), *(int(v) for v in ngram_join.sketch(x))) for pair, side, x in sets]
+    names = [f"s{k}" for k in range(ngram_join.SKETCH)]
+    df = spark.createDataFrame(rows, "pair long, side long, n long, " + ", ".join(f"{c} long" for c in names))
+    by = ngram_join.graded(df, t)
+    side = lambda s, p: by.filter(f"side = {s}").select("pair", "grade", *[by[c].alias(p + c) for c in ["n", *names]])
+    found = side(0, "a_").join(side(1, "b_"), ["pair", "grade"]).filter(ngram_join.possible(t)).select("pair").distinct().count()
+    assert found == len(sets) // 2
+    assert by.select("grade").distinct().count() == len(ngram_join.GRADES)
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.ngram_join(frame(spark, [])).count() == 0
 
