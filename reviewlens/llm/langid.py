@@ -4,8 +4,13 @@ A text's vector is the mean of the embeddings of its subwords (byte 3-grams and
 4-grams of the lower-cased text, hashed to ``BUCKETS`` rows); a linear softmax
 on it gives the languages.  Embeddings and weights are trained together by
 stochastic gradient descent in numpy on at most ``ROWS_PER_LANG`` labelled rows
-a language (their hashed counts, not their texts, reach the driver).  A fifth
-of these rows is held back to fit a temperature and the rejection threshold.
+a language (their hashed counts, not their texts, reach the driver).  The same
+texts with their letters shuffled are a background class beside the languages,
+so a text that is like none of them scores low even with one language.  A fifth
+of the rows is held back to fit a temperature (1 at least) and the rejection
+threshold, which is set between the held-back rows' scores and those of texts
+that have to be rejected: held-back shuffled texts, and rows of languages that
+models fitted without them score (``FOLDS`` models, each without its part of the languages).
 
 Since the softmax is linear in the mean, prediction averages rows of the
 (BUCKETS x languages) product of embeddings and weights: the whole text is read
@@ -14,6 +19,7 @@ and the model that is sent to the tasks stays small.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +35,10 @@ BUCKETS = 1 << BUCKET_BITS
 DIM, EPOCHS, RATE = 16, 12, 0.5
 #: labelled rows a language that the model is fitted on: the smallest hashes of their ids
 ROWS_PER_LANG = 400
-#: share of correctly labelled rows that the threshold may reject, and the largest threshold
-REJECT_SHARE, MOST_THRESHOLD = 0.002, 0.3
+#: share of correctly labelled rows that the threshold may reject, and of foreign rows that it may let pass where both can be had
+REJECT_SHARE, PASS_SHARE = 0.002, 0.01
+#: models fitted without some of the languages
+FOLDS = 4
 UNKNOWN = "und"
 
 _IS_LETTER = np.zeros(256, bool)
@@ -66,7 +74,7 @@ def prepared(column: pa.Array) -> list[bytes]:
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray  # (BUCKETS, languages) float32: embeddings @ weights
+    table: np.ndarray  # (BUCKETS, languages and the background) float32: embeddings @ weights
     bias: np.ndarray
     temperature: float
     threshold: float
@@ -76,11 +84,16 @@ class Model:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def best(self, means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likeliest language (its number) of each row, and its probability."""
+        p = self.probabilities(means)[:, :len(self.langs)]
+        return p.argmax(axis=1), p.max(axis=1)
+
     def means(self, g: Group) -> tuple[np.ndarray, np.ndarray]:
         """Mean table row of each text, and how many subwords it has."""
         part, at = subwords(g)
         n = np.diff(at)
-        sums = np.zeros((len(n), len(self.langs)))
+        sums = np.zeros((len(n), self.table.shape[1]))
         if len(part):
             full = n > 0
             sums[full] = np.add.reduceat(self.table[part].astype(np.float64), at[:-1][full], axis=0)
@@ -92,8 +105,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def shuffled(text: bytes) -> bytes:
+    """The text (prepared) with its letters in another order; words keep their lengths."""
+    b = np.frombuffer(text, np.uint8).copy()
+    letters = _PART[b] != 32
+    b[letters] = np.random.default_rng(zlib.crc32(text)).permutation(b[letters])
+    return b.tobytes()
+
+
 def training_rows(labelled: DataFrame, rows_per_lang: int) -> DataFrame:
-    """lang, bucket array, count array of at most rows_per_lang rows a language (labelled: doc_id, text, lang)."""
+    """lang, mixed_up, bucket array, count array of at most rows_per_lang rows a language (labelled: doc_id, text, lang),
+    and of the same rows with shuffled letters (mixed_up)."""
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     few = (labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= rows_per_lang)
            .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
@@ -101,70 +123,100 @@ def training_rows(labelled: DataFrame, rows_per_lang: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for g in groups(prepared(batch.column(1))):
-                part, at = subwords(g)
-                each = [np.unique(part[x:y], return_counts=True) for x, y in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(g.first, len(g.texts)), *(pa.array([e[k].astype(np.int32) for e in each], pa.list_(pa.int32())) for k in (0, 1))],
-                                                 ["lang", "bucket", "n"])
-
-    return chosen.mapInArrow(lean(run), "lang string, bucket array<int>, n array<int>")
-
-
-def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 11) -> Model | None:
-    """Train on (lang, buckets, counts); None without a row that has subwords."""
-    examples = sorted((e for e in examples if len(e[1])), key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))
-    langs = sorted({e[0] for e in examples})
-    if not langs:
-        return None
-    rng = np.random.default_rng(seed)
-    back = np.zeros(len(examples), bool)  # every fifth row of a language, if it has five
-    for lang in langs:
-        rows = [i for i, e in enumerate(examples) if e[0] == lang]
-        back[rng.permutation(rows)[: len(rows) // 5]] = True
-    label = np.array([langs.index(e[0]) for e in examples])
-    share = 1 / np.bincount(label, minlength=len(langs))
-    weight = (share / share.mean())[label].clip(0.2, 5)
+            texts = prepared(batch.column(1))
+            for mixed_up in (False, True):
+                for g in groups([shuffled(x) for x in texts] if mixed_up else texts):
+                    part, at = subwords(g)
+                    each = [np.unique(part[x:y], return_counts=True) for x, y in zip(at[:-1], at[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(g.first, len(g.texts)), pa.array([mixed_up] * len(each)), *(pa.array([e[k].astype(np.int32) for e in each], pa.list_(pa.int32())) for k in (0, 1))],
+                                                     ["lang", "mixed_up", "bucket", "n"])
+
+    return chosen.mapInArrow(lean(run), "lang string, mixed_up boolean, bucket array<int>, n array<int>")
+
+
+def _fit(examples: list[tuple[str, bool, np.ndarray, np.ndarray]], langs: list[str], train: np.ndarray, rng: np.random.Generator) -> Model:
+    """A model of the languages, and of the background, from the examples that train numbers."""
+    label = np.array([len(langs) if e[1] else langs.index(e[0]) for e in examples])
+    share = 1 / np.maximum(np.bincount(label[train], minlength=len(langs) + 1), 1)
+    weight = (share / share.mean()).clip(0.2, 5)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
-    out, bias = np.zeros((DIM, len(langs))), np.zeros(len(langs))
-    train = np.flatnonzero(~back)
+    out, bias = np.zeros((DIM, len(langs) + 1)), np.zeros(len(langs) + 1)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(train):
-            _, part, n = examples[i]
+            _, _, part, n = examples[i]
             share_of = n / n.sum()
             mean = share_of @ emb[part]
             z = mean @ out + bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[label[i]] -= 1
-            p *= rate * weight[i]
+            p *= rate * weight[label[i]]
             step = out @ p
             out -= np.outer(mean, p)
             bias -= 0.1 * p
             emb[part] -= np.outer(share_of * np.sqrt(len(part)), step)  # a rare subword still moves
-    table = (emb @ out).astype(np.float32)
-    model = Model(langs, table, bias, 1.0, 0.0)
-    hold = np.flatnonzero(back) if back.any() else train
-    means = np.array([(examples[i][2] / examples[i][2].sum()) @ table[examples[i][1]] for i in hold])
+    return Model(langs, (emb @ out).astype(np.float32), bias, 1.0, 0.0)
+
+
+def fit(examples: list[tuple[str, bool, np.ndarray, np.ndarray]], seed: int = 11) -> Model | None:
+    """Train on (lang, mixed_up, buckets, counts); None without a row that has subwords."""
+    examples = sorted((e for e in examples if len(e[2])), key=lambda e: (e[0], e[1], len(e[2]), e[2].tobytes(), e[3].tobytes()))
+    langs = sorted({e[0] for e in examples})
+    if not langs:
+        return None
+    rng = np.random.default_rng(seed)
+    back = np.zeros(len(examples), bool)  # every fifth row of a language, if it has five
+    for lang in langs:
+        for mixed_up in (False, True):
+            rows = [i for i, e in enumerate(examples) if e[:2] == (lang, mixed_up)]
+            back[rng.permutation(rows)[: len(rows) // 5]] = True
+    mixed = np.array([e[1] for e in examples])
+    number = np.array([langs.index(e[0]) for e in examples])
+    means = lambda m, rows: np.array([(examples[i][3] / examples[i][3].sum()) @ m.table[examples[i][2]] for i in rows])
+    model = _fit(examples, langs, np.flatnonzero(~back), rng)
+    hold = np.flatnonzero(back & ~mixed if (back & ~mixed).any() else ~mixed)
+    label, held = number[hold], means(model, hold)
 
     def loss(t: float) -> float:
         model.temperature = t
-        p = model.probabilities(means)[np.arange(len(hold)), label[hold]]
+        p = model.probabilities(held)[np.arange(len(hold)), label]
         return -np.log(np.maximum(p, 1e-12)).mean() + 1e-4 * abs(np.log(t))
 
-    model.temperature = min(np.exp(np.linspace(-3, 3, 61)), key=loss)
-    p = model.probabilities(means)
-    right = p[np.arange(len(hold)), label[hold]][p.argmax(axis=1) == label[hold]]
-    model.threshold = float(min(MOST_THRESHOLD, np.quantile(right, REJECT_SHARE))) if len(right) else 0.0
+    # the rows are separable, so a temperature below 1 would only hide how sure the model is
+    model.temperature = min(np.exp(np.linspace(0, 3, 31)), key=loss)
+    best, score = model.best(held)
+    right = score[best == label]
+    foreign = [model.best(means(model, np.flatnonzero(back & mixed)))[1]] if (back & mixed).any() else []
+    folds = min(FOLDS, len(langs)) if len(langs) > 1 else 0
+    for fold in range(folds):
+        out = number % folds == fold
+        rest = [x for k, x in enumerate(langs) if k % folds != fold]
+        part = [i for i in range(len(examples)) if not out[i] and not back[i]]
+        without = _fit([examples[i] for i in part], rest, np.arange(len(part)), rng)
+        without.temperature = model.temperature
+        foreign.append(without.best(means(without, np.flatnonzero(out & ~mixed)))[1])
+    model.threshold = threshold(right, np.concatenate(foreign) if foreign else np.zeros(0))
     return model
 
 
+def threshold(right: np.ndarray, foreign: np.ndarray) -> float:
+    """At most the REJECT_SHARE quantile of the scores that have to pass; in the middle (of the log odds) between it
+    and the PASS_SHARE upper quantile of those that have not to, if that is lower."""
+    if not len(right):
+        return 0.0
+    odds = lambda x: np.log(np.clip(x, 1e-12, 1 - 1e-12) / (1 - np.clip(x, 1e-12, 1 - 1e-12)))
+    most = np.quantile(right, REJECT_SHARE)
+    least = np.quantile(foreign, 1 - PASS_SHARE) if len(foreign) else 0.0
+    return float(most if least >= most else 1 / (1 + np.exp(-(odds(most) + odds(least)) / 2)))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG) -> Model | None:
     """Fit a model on rows with a lang whose ids are not held out."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = training_rows(labelled, rows_per_lang).toArrow()
-    return fit([(a, np.asarray(b.values), np.asarray(c.values)) for a, b, c in zip(rows["lang"].to_pylist(), *([x for x in rows[k].combine_chunks()] for k in ("bucket", "n")), strict=True)]) if rows.num_rows else None
+    return fit([(a, m, np.asarray(b.values), np.asarray(c.values)) for a, m, b, c in zip(rows["lang"].to_pylist(), rows["mixed_up"].to_pylist(), *([x for x in rows[k].combine_chunks()] for k in ("bucket", "n")), strict=True)]) if rows.num_rows else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
@@ -173,7 +225,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     ``und`` with score 0, rejected: null text, no letter, or no model (nothing
     to learn from).  Otherwise the likeliest language, its calibrated
-    probability, and rejected if that is below the model's threshold.  A text
+    probability beside the other languages and the background, and rejected if that is below the model's threshold.  A text
     with letters but without subwords (one-letter words) gets the prior.
     """
     schema = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *keep)
@@ -187,8 +239,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 if model is None:
                     best, score = np.zeros(len(known), int), np.zeros(len(known))
                 else:
-                    p = model.probabilities(model.means(g)[0])
-                    best, score = p.argmax(axis=1), np.where(known, p.max(axis=1), 0.0)
+                    best, score = model.best(model.means(g)[0])
+                    score = np.where(known, score, 0.0)
                 lang = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
                 rejected = ~known | (score < (model.threshold if model else 0))
                 rest = [batch.column(k).slice(g.first, len(g.texts)) for k in range(2, batch.num_columns)]

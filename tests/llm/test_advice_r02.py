@@ -4,8 +4,9 @@ import math
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
-from reviewlens.llm import mixing
+from reviewlens.llm import langid, mixing
 
 # -- 2 -------------------------------------------------------------------------------------------------------------------
 
@@ -50,3 +51,26 @@ def test_more_sources_than_a_cycle_has_slots(spark):
         assert r.mix_slot == t
         had += r.source == "big"
         assert abs(had - (t + 1) * Fraction(10_000, 11_100)) < 1
+
+
+# -- 9 -------------------------------------------------------------------------------------------------------------------
+
+FOREIGN = [
+    "La pioggia cadeva lentamente sulla vecchia città mentre gli abitanti tornavano a casa dopo una lunga giornata di lavoro nei campi",
+    "Deszcz padał powoli na stare miasto podczas gdy mieszkańcy wracali do domu po długim dniu pracy w polu",
+    "Sade lankesi hitaasti vanhan kaupungin ylle kun asukkaat palasivat kotiin pitkän työpäivän jälkeen pelloilta",
+    "Дождь медленно падал на старый город пока жители возвращались домой после долгого рабочего дня",
+    "xqzj wvkp ggtrx qqpl zzxv bnmk jhgf wqrt plkj vcxz mnbq",
+]
+
+
+@pytest.mark.parametrize("langs", [("en", "fr", "de", "es"), ("en", "de", "es"), ("en",)])
+def test_foreign_texts_and_junk_are_rejected(spark, sf_dir, langs):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    learned = docs.filter(F.col("lang").isin(*langs))
+    model = langid.train(learned)
+    planted = spark.createDataFrame([(i, x, "foreign") for i, x in enumerate(FOREIGN)], "doc_id long, text string, lang string")
+    shares = {r.lang: r.share for r in langid.predict(docs.union(planted), model, keep=("lang",)).groupBy("lang").agg(F.avg(F.col("rejected").cast("double")).alias("share")).collect()}
+    assert shares["foreign"] == 1
+    for lang in ("en", "fr", "de", "es"):
+        assert shares[lang] <= 0.02 if lang in langs else shares[lang] >= 0.95, lang
