@@ -2,7 +2,8 @@
 
 ``STAGES`` are (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
-one's docs.  All but the last return the columns of docs.
+one's docs.  The first three return the columns of docs, mix_sources adds ``MIXED``
+(the reader keeps no order between files), which encode hands on.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from reviewlens.llm.queries import TOKENIZER
 
 #: SQL cannot express the language model, the mixing order or the encoding: tests hold run() against brute force
 ORACLE_SQL = None
+#: place in the mixing order: of a row's block, and within the block
+MIXED = ("mix_slot", "mix_place")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +47,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order in which their sources keep their target weights (square roots of their sizes)."""
-    return mixing.in_mix_order(mixing.mix(docs, mixing.flattened_weights(docs)))
+    """All documents, written in the order in which their sources keep their target weights (square roots of their sizes), with their places in it (MIXED)."""
+    docs = docs.drop(*MIXED)
+    mixed = mixing.mix(docs, mixing.flattened_weights(docs))
+    return mixing.in_mix_order(mixed.withColumn("row", F.struct("row.*", *MIXED)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, and the token ids with digests of them and of the text that they decode to."""
-    return bpe.encode_documents(docs, TOKENIZER, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"), keep=("doc_id", "lang", "source"))
+    """doc_id, lang, source, the place in the mixing order (as far as docs has it), and the token ids with digests of them and of the text that they decode to."""
+    return bpe.encode_documents(docs, TOKENIZER, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"), keep=("doc_id", "lang", "source", *[c for c in MIXED if c in docs.columns]))
 
 
 STAGES = [

@@ -74,3 +74,18 @@ def test_foreign_texts_and_junk_are_rejected(spark, sf_dir, langs):
     assert shares["foreign"] == 1
     for lang in ("en", "fr", "de", "es"):
         assert shares[lang] <= 0.02 if lang in langs else shares[lang] >= 0.95, lang
+
+
+# -- pipeline ------------------------------------------------------------------------------------------------------------
+
+def test_mixing_order_reaches_the_end_of_the_pipeline(spark, sf_dir, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    placed = mixing.mix(docs, mixing.flattened_weights(docs)).select("id", "mix_slot", "mix_place").collect()
+    out = corpus_pipeline.run(spark, sf_dir).select("doc_id", "mix_slot", "mix_place").collect()
+    assert {tuple(r) for r in out} == {tuple(r) for r in placed} and len(out) == len({(r.mix_slot, r.mix_place) for r in out}) == docs.count()
+    # the stage's own rows are in that order
+    first = [(r.mix_slot, r.mix_place) for r in corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()]
+    assert first == sorted(first)
