@@ -6,6 +6,8 @@ only, so it stays inside whole-stage codegen on the executors.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,12 +40,12 @@ HTML_COMMENT = r"(?is)<!--.*?-->"
 HTML_SCRIPT_STYLE = r"(?is)<(script|style)\b.*?</(script|style)>"
 # a "<" that opens no tag ("<3", "a < b") is text
 HTML_TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
-# Named/numeric entities decoded after tag removal; "&amp;" last so that
-# "&amp;lt;" becomes "&lt;" and not "<".
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+# Character references decoded after tag removal, each once, so that "&amp;lt;"
+# becomes "&lt;" and not "<": decimal, hexadecimal, and the names of HTML5.
+HTML_REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+HTML_NAMES = {name[:-1]: ch for name, ch in html5.items() if name.endswith(";")}
+# numbers that stand for other characters (windows-1252), as browsers read them
+HTML_NUMBERS = {n: ord(bytes([n]).decode("cp1252")) for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 # ---------------------------------------------------------------------------
@@ -58,9 +60,28 @@ def html_to_text(col: Column | str, sep: str = "") -> Column:
     c = F.regexp_replace(c, HTML_COMMENT, "")
     c = F.regexp_replace(c, HTML_SCRIPT_STYLE, "")
     c = F.regexp_replace(c, HTML_TAG, sep)
-    for ent, ch in HTML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    # bound in a lambda, so that the patterns above run once a row
+    return F.transform(F.array(c), decode_references)[0]
+
+
+def decode_references(c: Column) -> Column:
+    """Character references decoded; a name that HTML5 does not have stays."""
+    names = F.create_map(*[F.lit(x) for kv in sorted(HTML_NAMES.items()) for x in kv])
+    numbers = F.create_map(*[F.lit(x) for kv in sorted(HTML_NUMBERS.items()) for x in kv])
+
+    def character(ref: Column) -> Column:
+        hexadecimal = F.lower(F.substring(ref, 2, 1)) == "x"
+        digits = F.ltrim(F.when(hexadecimal, F.substring(ref, 3, 1 << 30)).otherwise(F.substring(ref, 2, 1 << 30)), F.lit("0"))
+        code = F.when(F.length(digits) > 8, F.lit(0)).otherwise(F.coalesce(F.conv(F.when(hexadecimal, digits).otherwise(F.conv(digits, 10, 16)), 16, 10).cast("long"), F.lit(0)))
+        code = F.coalesce(numbers[code.cast("int")], code)
+        bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        number = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0")), "UTF-32")
+        return F.when(F.substring(ref, 1, 1) == "#", number).otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+
+    between = F.split(c, HTML_REFERENCE, -1)
+    refs = F.regexp_extract_all(c, F.lit(HTML_REFERENCE), 1)
+    decoded = F.array_join(F.zip_with(between, F.transform(refs, character), lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def normalize_query_text(col: Column | str) -> Column:
