@@ -116,10 +116,14 @@ def shuffled(text: bytes) -> bytes:
 def training_rows(labelled: DataFrame, rows_per_lang: int) -> DataFrame:
     """lang, mixed_up, bucket array, count array of at most rows_per_lang rows a language (labelled: doc_id, text, lang),
     and of the same rows with shuffled letters (mixed_up)."""
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = (labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= rows_per_lang)
-           .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
-    chosen = labelled.join(F.broadcast(few), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text")
+    # rows are chosen without their texts; equal rows come back together, so they are numbered once more with them
+    digest = F.xxhash64("text")
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "_digest")
+    first = lambda rows: rows.withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= rows_per_lang)
+    few = (first(labelled.select("doc_id", "lang", digest.alias("_digest")))
+           .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("_digest").alias("_text")).distinct())
+    chosen = labelled.withColumn("_digest", digest).join(F.broadcast(few), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.col("_digest") == F.col("_text")))
+    chosen = first(chosen.select("doc_id", "lang", "text", "_digest")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -76,6 +76,12 @@ def test_foreign_texts_and_junk_are_rejected(spark, sf_dir, langs):
         assert shares[lang] <= 0.02 if lang in langs else shares[lang] >= 0.95, lang
 
 
+def test_training_rows_are_bounded_where_ids_repeat(spark):
+    rows = [(None, f"text number {i}", "en") for i in range(300)] + [(7, "the same text", "fr")] * 300 + [(9, "another", "fr")]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r.lang, r.mixed_up): r["count"] for r in langid.training_rows(labelled, 20).groupBy("lang", "mixed_up").count().collect()} == {(x, y): 20 for x in ("en", "fr") for y in (False, True)}
+
+
 # -- pipeline ------------------------------------------------------------------------------------------------------------
 
 def test_mixing_order_reaches_the_end_of_the_pipeline(spark, sf_dir, monkeypatch):
