@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: (spark, sf_dir) -> DataFrame over the whole table, and DuckDB SQL where it can express them."""
+"""The registered queries of the thirteen operators: (spark, sf_dir) -> DataFrame over the whole table, and DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe, dedup, extract, langid, lbl, mixing, ngram_join, packing, repetition, warc
+from reviewlens.llm import bpe, dedup, extract, langid, lbl, manifest, mixing, ngram_join, packing, prefix_trie, repetition, sampling, sql, warc
 from reviewlens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,9 +64,25 @@ def op10_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents")).drop("repeats")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, manifest.lower_ascii(text)).otherwise(text)
+    found = manifest.manifest(table(spark, sf_dir, "documents"), tampered={"text": altered})
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_mix_sources, op3_token_files, op4_warc_fixity, op5_main_text, op6_bpe_round_trip, op7_log_bilinear_score, op8_exact_dedup, op9_language_id, op10_repetition_rules)
+    for f in (op1_ngram_jaccard_join, op2_mix_sources, op3_token_files, op4_warc_fixity, op5_main_text, op6_bpe_round_trip, op7_log_bilinear_score, op8_exact_dedup, op9_language_id, op10_repetition_rules,
+              op11_conversation_trie, op12_merkle_manifest, op13_weighted_fingerprints)
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -97,4 +113,6 @@ SELECT page_id, row_number() OVER (ORDER BY page_id) - 1 AS number,
 WITH t AS (SELECT doc_id, coalesce(text, '') AS raw, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
 k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(raw) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k""",
+    "op11_conversation_trie": sql.CONVERSATION_TRIE,
+    "op12_merkle_manifest": sql.merkle_manifest(),
 }
