@@ -40,6 +40,15 @@ def build_parser() -> argparse.ArgumentParser:
         if name == "knn":
             c.add_argument("--k", type=int, default=61)
             c.add_argument("--rule", default="cos", choices=["cos", "majority", "sentiment"])
+        if name == "centroid":
+            c.add_argument("--numbered", action="store_true", help="'00000 0|1' lines of all readable files")
+            c.add_argument("--n-train", type=int, help="with --numbered: reviews of each class to read")
+
+    pr = sub.add_parser("precision", help="class means of the first files against files not read")
+    pr.add_argument("--pos", nargs="+", required=True)
+    pr.add_argument("--neg", nargs="+", required=True)
+    pr.add_argument("--n-train", type=int)
+    pr.add_argument("--n-test", type=int)
 
     ev = sub.add_parser("evaluate")
     ev.add_argument("--train", nargs="+", required=True)
@@ -67,6 +76,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         counters = jobs.preprocess_files(spark, args.reviews, args.lexicon, tags, args.out).first()
         print(f"Negative reviews with positive score: {counters.pos_but_neg}")
         print(f"Positive reviews with negative score: {counters.neg_but_pos}")
+    elif args.cmd == "centroid" and args.numbered:
+        jobs.number_files(spark, args.train, args.test, args.out, args.n_train)
+    elif args.cmd == "precision":
+        for k, v in jobs.precision_files(spark, args.pos, args.neg, args.n_train, args.n_test).first().asDict().items():
+            print(f"{k}: {v}")
     elif args.cmd in ("bayes", "centroid"):
         jobs.classify_files(spark, args.train, args.test, args.out, args.cmd)
     elif args.cmd == "knn":

@@ -42,8 +42,11 @@ HTML_SCRIPT_STYLE = r"(?is)<(script|style)\b.*?</(script|style)>"
 HTML_TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 # Character references decoded after tag removal, each once, so that "&amp;lt;"
 # becomes "&lt;" and not "<": decimal, hexadecimal, and the names of HTML5.
-HTML_REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 HTML_NAMES = {name[:-1]: ch for name, ch in html5.items() if name.endswith(";")}
+# Names that are read without a ";" too, also in front of other letters; longer ones first.
+HTML_OPEN_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+HTML_REFERENCE = (r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|(?:" + "|".join(sorted(HTML_NAMES, key=lambda name: (-len(name), name))) + ");|"
+                  + "|".join(HTML_OPEN_NAMES) + ")")
 # numbers that stand for other characters (windows-1252), as browsers read them
 HTML_NUMBERS = {n: ord(bytes([n]).decode("cp1252")) for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
@@ -60,12 +63,13 @@ def html_to_text(col: Column | str, sep: str = "") -> Column:
     c = F.regexp_replace(c, HTML_COMMENT, "")
     c = F.regexp_replace(c, HTML_SCRIPT_STYLE, "")
     c = F.regexp_replace(c, HTML_TAG, sep)
-    # bound in a lambda, so that the patterns above run once a row
-    return F.transform(F.array(c), decode_references)[0]
+    # bound in a lambda, so that the patterns above run once a row, and left alone where there is no reference
+    return F.transform(F.array(c), lambda x: F.when(F.contains(x, F.lit("&")) & x.rlike(HTML_REFERENCE), decode_references(x)).otherwise(x))[0]
 
 
 def decode_references(c: Column) -> Column:
-    """Character references decoded; a name that HTML5 does not have stays."""
+    """Character references decoded; a name that HTML5 does not have stays, and
+    so does a name that needs its ";" and has none."""
     names = F.create_map(*[F.lit(x) for kv in sorted(HTML_NAMES.items()) for x in kv])
     numbers = F.create_map(*[F.lit(x) for kv in sorted(HTML_NUMBERS.items()) for x in kv])
 
@@ -76,12 +80,11 @@ def decode_references(c: Column) -> Column:
         code = F.coalesce(numbers[code.cast("int")], code)
         bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
         number = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0")), "UTF-32")
-        return F.when(F.substring(ref, 1, 1) == "#", number).otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+        return F.when(F.substring(ref, 1, 1) == "#", number).otherwise(F.try_element_at(names, ref))
 
     between = F.split(c, HTML_REFERENCE, -1)
-    refs = F.regexp_extract_all(c, F.lit(HTML_REFERENCE), 1)
-    decoded = F.array_join(F.zip_with(between, F.transform(refs, character), lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    refs = F.transform(F.regexp_extract_all(c, F.lit(HTML_REFERENCE), 1), lambda r: F.rtrim(r, F.lit(";")))
+    return F.array_join(F.zip_with(between, F.transform(refs, character), lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
 
 
 def normalize_query_text(col: Column | str) -> Column:

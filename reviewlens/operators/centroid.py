@@ -24,7 +24,9 @@ one join with the per-word statistics and one shuffle by document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import text as T
@@ -149,14 +151,26 @@ def centroid_predict(train: DataFrame, test: DataFrame, n_docs: int | None = Non
     return sims.select("doc_id", decide(F.col("sim_pos"), F.col("sim_neg"), tie).alias("prediction"))
 
 
-def heldout_dedup(heldout: DataFrame) -> DataFrame:
-    """doc_id (smallest copy), text, label, n_copies: held-out reviews keyed by
-    text; when copies carry both labels the negative one wins (it is merged
-    last)."""
-    return (heldout.groupBy("text")
-            .agg(F.min("doc_id").alias("doc_id"),
-                 F.max_by("label", F.col("label") == "neg").alias("label"),
-                 F.count(F.lit(1)).alias("n_copies")))
+def heldout_classes(heldout: DataFrame, digest: Callable[[Column], Column] | None = None) -> DataFrame:
+    """doc_id (smallest copy), label, n_copies for each distinct held-out text;
+    when copies carry both labels the negative one wins (it is merged last).
+
+    Rows are grouped by a digest, so (digest, doc_id, label) is what every row
+    sends through the shuffle.  Only texts whose digest several rows have are
+    compared themselves, which keeps different texts with one digest apart."""
+    d = heldout.withColumn("_digest", (digest or (lambda c: F.sha2(c, 256)))(F.col("text")))
+    copies = [F.min("doc_id").alias("doc_id"), F.max_by("label", F.col("label") == "neg").alias("label"),
+              F.count(F.lit(1)).alias("n_copies")]
+    by_digest = d.groupBy("_digest").agg(*copies)
+    several = by_digest.filter("n_copies > 1").select("_digest")
+    by_text = d.join(several, "_digest", "left_semi").groupBy("_digest", "text").agg(*copies)
+    return (by_digest.filter("n_copies = 1").drop("_digest")
+            .unionByName(by_text.drop("_digest", "text")))
+
+
+def heldout_dedup(heldout: DataFrame, digest: Callable[[Column], Column] | None = None) -> DataFrame:
+    """doc_id, text, label, n_copies: held-out reviews keyed by text."""
+    return heldout.select("doc_id", "text").join(heldout_classes(heldout, digest), "doc_id")
 
 
 def centroid_precision(train: DataFrame, heldout: DataFrame, n_docs: int | None = None,

@@ -163,6 +163,9 @@ def q_label_from_path(spark, sf):
 
 from reviewlens.operators import centroid  # noqa: E402
 from reviewlens.operators.ordering import sequence_numbers  # noqa: E402
+from reviewlens.plans import jobs  # noqa: E402
+from reviewlens.session import checkpoint_folder  # noqa: E402
+from reviewlens.sources import files  # noqa: E402
 
 
 @register("clean_tokens")
@@ -222,8 +225,10 @@ def q_centroid_predict_parity(spark, sf):
 
 @register("centroid_predict_numbered")
 def q_centroid_predict_numbered(spark, sf):
-    p = centroid.centroid_predict(tables.labelled(spark, sf), tables.unlabelled(spark, sf))
-    n = sequence_numbers(p, "doc_id")
+    test = tables.unlabelled(spark, sf)
+    p = centroid.centroid_predict(tables.labelled(spark, sf), test)
+    # the ids are numbered, not the predictions, which cost more than an id to make
+    n = p.join(sequence_numbers(test.select("doc_id"), "doc_id"), "doc_id")
     seq = T.zero_padded("seq")
     return n.select(seq.alias("seq"), "doc_id", "prediction",
                     F.concat_ws(" ", seq, F.col("prediction").cast("string")).alias("line"))
@@ -246,7 +251,7 @@ def q_heldout_docs(spark, sf):
 @register("heldout_dedup")
 def q_heldout_dedup(spark, sf):
     _, held = _heldout(spark, sf)
-    return centroid.heldout_dedup(held).select("doc_id", "label", "n_copies")
+    return centroid.heldout_classes(held).select("doc_id", "label", "n_copies")
 
 
 @register("centroid_precision")
@@ -256,6 +261,39 @@ def q_centroid_precision(spark, sf):
     return r.select("n_correct", "n_wrong", rnd("precision").alias("precision"))
 
 
+# Reviews read for training and for the evaluation from each
+# class by the queries below, so that both limits cut at every size.
+SHOWN_TRAIN = 40
+SHOWN_TEST = 15
+
+
+@register("heldout_unread_docs")
+def q_heldout_unread_docs(spark, sf):
+    # nothing but the anti join keeps the training reviews out
+    _, held = jobs.read_limits(tables.labelled(spark, sf), SHOWN_TRAIN, SHOWN_TEST)
+    return held.select("doc_id", "label")
+
+
+@register("centroid_precision_limited")
+def q_centroid_precision_limited(spark, sf):
+    train, held = jobs.read_limits(tables.labelled(spark, sf), SHOWN_TRAIN, SHOWN_TEST)
+    r = centroid.centroid_precision(train, held)
+    return r.select("n_correct", "n_wrong", rnd("precision").alias("precision"))
+
+
+@register("scored_review_round_trip")
+def q_scored_review_round_trip(spark, sf):
+    """Labelled reviews written as scored JSON by class and read back: the class
+    comes from the real paths of the files, the text and scores from their lines."""
+    lab = tables.labelled(spark, sf)
+    out = checkpoint_folder(spark, "scored-reviews")
+    rows = lab.select(F.col("doc_id").cast("string").alias("id"), "text", F.length("text").cast("double").alias("pos_score"),
+                      (F.col("doc_id") / 4).alias("neg_score"), "label")
+    writers.write_scored_reviews(rows, out)
+    r = files.read_scored_reviews(spark, out)
+    return r.select("id", "label", F.md5("text").alias("text_md5"), "pos_score", "neg_score")
+
+
 # ---------------------------------------------------------------------------
 # M3: TF-IDF neighbours
 # ---------------------------------------------------------------------------

@@ -263,6 +263,18 @@ ev AS (SELECT count_if((p.prediction = 1) = (d.label = 'pos')) AS c, count_if((p
 SELECT CAST(c AS BIGINT) AS n_correct, CAST(w AS BIGINT) AS n_wrong,
        round(CASE WHEN c + w = 0 THEN NULL ELSE c / (c + w) END, 9) AS precision FROM ev"""
 
+LIMITED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS rn FROM lab),
+trn AS (SELECT doc_id, text, label FROM ranked WHERE rn <= 40),
+held AS (SELECT doc_id, text, label FROM ranked WHERE rn > 40 AND rn <= 55)"""
+
+ORACLE["heldout_unread_docs"] = f"""
+WITH {LAB}, {LIMITED} SELECT doc_id, label FROM held"""
+
+ORACLE["centroid_precision_limited"] = ORACLE["centroid_precision"].replace(f"{SPLIT}, {TRAIN}, {HELD}", LIMITED)
+
+ORACLE["scored_review_round_trip"] = f"""
+WITH {LAB} SELECT CAST(doc_id AS VARCHAR) AS id, label, md5(text) AS text_md5, CAST(length(text) AS DOUBLE) AS pos_score, doc_id / 4 AS neg_score FROM lab"""
+
 
 # ---------------------------------------------------------------------------
 # M3: TF-IDF neighbours

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def checkpoint_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.functions import text as T
+
 
 def write_scored_reviews(df: DataFrame, out: str, mode: str = "errorifexists") -> None:
     """Scored reviews as JSON objects {text, pos_score, neg_score, id, source}
@@ -35,6 +37,15 @@ def write_prediction_lines(pred: DataFrame, out: str, id_col: str = "id",
     prediction_lines(pred, id_col, pred_col).write.mode(mode).text(out)
 
 
+def write_numbered_lines(pred: DataFrame, out: str, seq_col: str = "seq", pred_col: str = "prediction",
+                         mode: str = "errorifexists") -> None:
+    """'<00000> <0|1>' lines in order of their number (0-based, five digits at
+    least): the rows are range-partitioned by it, so the part files in name
+    order form the sorted file."""
+    line = F.concat_ws(" ", T.zero_padded(seq_col), F.col(pred_col).cast("int").cast("string"))
+    pred.select(seq_col, line.alias("line")).orderBy(seq_col).select("line").write.mode(mode).text(out)
+
+
 def sweep_lines(sweep: DataFrame) -> DataFrame:
     """line = 'K acc_knn acc_knn_sentiment acc_cos', ordered by K; an undefined
     accuracy (empty evaluation set) is written as NaN."""

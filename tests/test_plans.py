@@ -1,16 +1,16 @@
-"""Plan-shape guards over every registered query (physical plans, not run)."""
+"""Plan-shape guards over every query of the library (physical plans, not run)."""
 
 import re
 
 import pytest
 
-import __spark_entry__ as E
+from reviewlens.plans.catalog import REGISTRY
 
-NAMES = sorted(E.queries())
+NAMES = sorted(REGISTRY)
 
 
 def _plan(spark, sf_dir, name):
-    df = E.queries()[name](spark, sf_dir)
+    df = REGISTRY[name](spark, sf_dir)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
