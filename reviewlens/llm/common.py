@@ -55,8 +55,9 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, size: str, total: int)
     """
     least = total // HOT_KEYS + 1
     values = [c for c in table.columns if c != key]
+    no_salt = F.least(F.col(size), F.lit(-1)).cast("int")  # -1, but no constant: those are taken out of a join's keys
     hot = table.filter(F.col(size) > least).select(F.col(key), *[F.col(c).alias("_h_" + c) for c in values])
-    cold = table.filter(F.col(size) <= least).select(F.col(key).alias("_key"), F.lit(-1).alias("_salt"), *values)
+    cold = table.filter(F.col(size) <= least).select(F.col(key).alias("_key"), no_salt.alias("_salt"), *values)
     out = rows.join(F.broadcast(hot), key, "left")
     is_hot = F.col("_h_" + size).isNotNull()
     out = out.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), F.pmod(F.hash(*rows.columns), F.lit(1 << 20))).otherwise(-1))
