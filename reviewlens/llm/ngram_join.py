@@ -17,11 +17,15 @@ Frequent tokens: those whose counts, summed over batches in which a token makes
 most ``SLOTS`` of them, sent to all tasks.  Which they are does not change the
 result, only its cost.
 
-Pairs are verified in two rounds, so that a group of similar texts is not
+Pairs are verified in rounds, so that a group of similar texts is not
 expanded into all its pairs:
  1. each signature's nodes against the first of them (a star), then components;
- 2. of signatures whose nodes are in several components, all pairs of nodes of
-    different components.
+ 2. again stars, in signatures whose nodes are in several components: a node of
+    the largest one, that which has the most such signatures, against the nodes of
+    the others; in later rounds other leads.  They go on while components
+    merge;
+ 3. of signatures whose nodes still are in several components, all pairs of nodes
+    of different components, compared by longer sketches.
 A pair goes to verification only if its sizes and the parity sketches of its
 sets allow the similarity (the sketches' different bits are at most the sets'
 different tokens, so no link is lost); verification intersects the sets.
@@ -46,7 +50,9 @@ SKETCH = 32
 #: sets of more tokens have a longer sketch too
 LONG = 64 * SKETCH
 #: sketch words of postings by grade of their sets' sizes: the fewest whose random halves still exceed the bits that linked sets may differ in
-GRADES = (8, 16, SKETCH)
+GRADES = (16, SKETCH, SKETCH)
+#: rounds of stars after the first, and the share of the nodes in mixed signatures that have to change their component for another
+STAR_ROUNDS, STAR_GAIN = 6, 0.02
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -287,19 +293,39 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     stars = save(candidates(shared.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()), "ngram-stars")
     links = verify(save(possible_long(stars, described, similarity), "ngram-likely"), rows, nodes, width, similarity)
     labels = save(components(links, nodes), "ngram-labels")
-    # round 2: signatures whose nodes are in several components
-    labelled = save(shared.join(labels, "node"), "ngram-labelled")
-    mixed = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-    left = labelled.join(mixed, "sig", "left_semi")
-    per_label = left.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m")).select("sig", F.col("m.label").alias("main"))
-    left = save(left.join(main, "sig").join(graded(described.drop("long"), similarity), "node"), "ngram-left")
+
+    def mixed_postings() -> DataFrame:
+        """sig, node, label, main (the signature's largest component) of signatures whose nodes are in several components."""
+        labelled = shared.join(labels, "node").select("sig", "node", "label")
+        per_label = labelled.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
+        mixed = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        return save(labelled.join(mixed.select("sig", F.col("m.label").alias("main")), "sig"), "ngram-mixed")
+
+    checked = stars.select("a", "b")
+    for turn in range(STAR_ROUNDS):
+        left = mixed_postings()
+        degree = left.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        # the first round's leads are the best connected ones, later ones differ from signature to signature
+        rank = F.struct("degree", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+        lead = left.filter("label = main").join(degree, "node").groupBy("sig").agg(F.max(rank)["node"].alias("lead"))
+        pairs = left.filter("label <> main").join(lead, "sig").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        pairs = save(pairs.join(checked, ["a", "b"], "left_anti"), "ngram-turn")
+        likely = save(candidates(pairs), "ngram-turn-likely")
+        checked = checked.unionByName(likely)
+        found_links = verify(save(possible_long(likely, described, similarity), "ngram-likely"), rows, nodes, width, similarity)
+        n_mixed, n_found = left.select("node").distinct().count(), found_links.count()
+        if n_found:
+            links = save(links.union(found_links), "ngram-links")
+            labels = save(components(links, nodes), "ngram-labels")
+        if n_found <= STAR_GAIN * n_mixed:
+            break
+    left = save(mixed_postings().join(graded(described.drop("long"), similarity), "node"), "ngram-left")
     # all pairs of different components, of which one is not in the signature's largest
     cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in sketch_cols]]
     others = left.filter("label <> main").select("sig", "grade", *cols("a"))
     everyone = left.select("sig", "grade", (F.col("label") == F.col("main")).alias("in_main"), *cols("b"))
     second = others.join(everyone, ["sig", "grade"]).filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
-    second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "ngram-second")
+    second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"), "ngram-second")
     if second.limit(1).count():
         second = save(possible_long(second, described, similarity), "ngram-likely")
         links = save(links.union(verify(second, rows, nodes, width, similarity)), "ngram-all-links")
