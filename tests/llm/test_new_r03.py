@@ -217,3 +217,72 @@ def test_fingerprint_documents(spark):
     assert sampling.fingerprint_documents(df.limit(0)).count() == 0
     one = sampling.fingerprint_documents(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")).first()
     assert one["near_next"] == 1.0 and one["edited_sha256"] == sha("a b a b")
+
+
+# 3, 1 and the pipeline -----------------------------------------------------------
+
+def test_joined_chunks_encode_as_alone():
+    from tokenizers import Tokenizer
+
+    from reviewlens.llm import packing
+    from reviewlens.llm.queries import TOKENIZER
+
+    t = Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(11)
+    odd = ["e\u0301", "\u0301x", "\u00a0", "a\u00a0b", "\u2028", "\x1c", "it's", "ΑΣ", "İ", "ß", "<|endoftext|>", "a<|startoftext|>b", "\ufffd", "\u200b", "한국", "😀👍🏽", "Ǆ", "\x00"]
+    chunks = [rng.choice([*odd, "".join(rng.choice("abcé'1.,#") for _ in range(rng.randint(1, 30)))]).encode() for _ in range(3000)]
+    alone = [np.array(t.encode(c.decode(), add_special_tokens=False).ids, np.uint32).tobytes() for c in chunks]
+    assert packing.encode_joined(lambda s: t.encode(s, add_special_tokens=False), chunks) == alone
+
+
+def test_candidates_grow_with_a_group(spark, monkeypatch):
+    """Of a group of near copies, pairs that are no links go to verification in proportion to the group."""
+    from fractions import Fraction
+
+    from reviewlens.llm import ngram_join
+
+    rng, sizes = random.Random(1), {}
+    words = [f"w{i}" for i in range(5000)]
+    save = ngram_join.save
+    for n in (80, 320):
+        seen = sizes[n] = Counter()
+
+        def counted(df, name, seen=seen):
+            out = save(df, name)
+            if name in ("ngram-stars", "ngram-turn-likely", "ngram-second"):
+                seen[name] += out.count()
+            return out
+
+        monkeypatch.setattr(ngram_join, "save", counted)
+        base = [rng.choice(words) for _ in range(400)]
+        rows = []
+        for i in range(n):
+            text = list(base)
+            for _ in range(rng.randint(3, 8)):
+                text[rng.randrange(400)] = rng.choice(words)
+            rows.append((i, " ".join(text)))
+        found = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, Fraction(9, 10)).collect()
+        sets = [{tuple(t.split()[k:k + 3]) for k in range(398)} for _, t in rows]
+        label = list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                    a, b = sorted((label[i], label[j]))
+                    label = [a if x == b else x for x in label]
+        assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(label))
+    assert sum(sizes[320].values()) < 8 * sum(sizes[80].values())
+
+
+def test_near_dedup_keeps_other_texts_of_a_dropped_id(spark):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    words = [f"v{i}" for i in range(3000)]
+    text = [rng.choice(words) for _ in range(200)]
+    near = [*text[:100], "other", *text[101:]]
+    rows = [(1, " ".join(text)), (5, " ".join(near)), (5, "an unrelated text with the id of a near copy"), (None, " ".join(near)), (1, " ".join(text))]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t), 7, 8) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, text_hash long, node long")
+    out = corpus_pipeline.near_dedup(spark, df, "")
+    assert out.columns == df.columns
+    kept = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert kept == Counter([rows[0], rows[4], rows[2], rows[3]])
