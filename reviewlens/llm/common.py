@@ -36,6 +36,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
+    """Arrow batches of so many rows and bytes at most from here on: what a Python worker and its task hold of a table."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

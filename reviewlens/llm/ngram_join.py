@@ -52,7 +52,7 @@ LONG = 64 * SKETCH
 #: sketch words of postings by grade of their sets' sizes: the fewest whose random halves still exceed the bits that linked sets may differ in
 GRADES = (16, SKETCH, SKETCH)
 #: rounds of stars after the first, and the share of the nodes in mixed signatures that have to change their component for another
-STAR_ROUNDS, STAR_GAIN = 6, 0.02
+STAR_ROUNDS, STAR_GAIN = 2, 0.02
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -146,7 +146,7 @@ def _threshold(a: str, b: str, similarity: Fraction) -> Column:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Fraction) -> DataFrame:
-    """doc_id, node (null for an empty set), n, sketch words s0.., signatures, long sketch (or null) of every row (saved)."""
+    """doc_id, text_hash, node (null for an empty set), n, sketch words s0.., signatures, long sketch (or null) of every row (saved)."""
     words = ", ".join(f"s{k} long" for k in range(SKETCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +155,12 @@ def describe(docs: DataFrame, frequent: np.ndarray, width: int, similarity: Frac
                 sets = list(sets_of(g, width))
                 sk = np.array([sketch(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(g.first, len(sets)), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column(0).slice(g.first, len(sets)), batch.column(2).slice(g.first, len(sets)), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      *(pa.array(sk[:, k]) for k in range(SKETCH)), pa.array([signatures(s, frequent, similarity).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets], pa.list_(pa.int64())),
                      pa.array([long_sketch(s) for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "node", "n", *(f"s{k}" for k in range(SKETCH)), "signatures", "long"])
+                    ["doc_id", "text_hash", "node", "n", *(f"s{k}" for k in range(SKETCH)), "signatures", "long"])
 
-    return save(docs.mapInArrow(lean(run), f"doc_id long, node long, n long, {words}, signatures array<long>, `long` array<long>"), "ngram-rows")
+    return save(docs.mapInArrow(lean(run), f"doc_id long, text_hash long, node long, n long, {words}, signatures array<long>, `long` array<long>"), "ngram-rows")
 
 
 def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
@@ -254,8 +254,9 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(9, 10), id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id of its component) and links_verified (links of its
-    set with other sets, as far as they had to be verified) of every row of docs.
+    """doc_id, n_shingles, component_id (the smallest doc_id of its component), links_verified (links of its
+    set with other sets, as far as they had to be verified: no degree, as sets that are known to be in one component
+    are not compared further) and text_hash (xxhash64 of the text, to find the row again) of every row of docs.
 
     Words are runs without white space, A-Z in lower case; a text with fewer
     than ``width`` words is one n-gram; one without words (or null) is linked
@@ -264,6 +265,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     rows gets its row.  Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
     if not Fraction(3, 4) <= similarity < 1:
         raise ValueError("similarities from 3/4 on")
     found = describe(rows, frequent_tokens(rows.select("text"), width, slots), width, similarity)
@@ -333,6 +335,6 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links_verified"))
     first = nodes.join(labels, "node").groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = save(nodes.select("node", F.col("rows").alias("n_rows")).join(labels, "node").join(first, "label").join(degree, "node", "left").select("node", "n_rows", "component_id", F.coalesce("links_verified", F.lit(0)).alias("links_verified")), "ngram-classes")
-    out = look_up(found.select("doc_id", "node", F.col("n").alias("n_shingles")), classes, "node", "n_rows", found.count())
+    out = look_up(found.select("doc_id", "text_hash", "node", F.col("n").alias("n_shingles")), classes, "node", "n_rows", found.count())
     empty = F.col("node").isNull()
-    return out.select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("links_verified", F.lit(0)).cast("long").alias("links_verified"))
+    return out.select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("links_verified", F.lit(0)).cast("long").alias("links_verified"), "text_hash")
