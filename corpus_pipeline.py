@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import bpe, dedup, langid, mixing, ngram_join
-from reviewlens.llm.common import checked_broadcast, save, table
+from reviewlens.llm.common import checked_broadcast, save, small_batches, table
 from reviewlens.llm.queries import TOKENIZER
 
 #: SQL cannot express the language model, the mixing order or the encoding: tests hold run() against brute force
@@ -25,6 +25,7 @@ MIXED = ("mix_slot", "mix_place")
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null text, no letter) or below the calibrated threshold go."""
+    small_batches(spark)
     # the text goes to the tasks' Python once, the other columns beside it as one struct
     rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
     found = langid.predict(rows, langid.train(docs), keep=("row",), keep_text=True).filter("not rejected")
@@ -39,11 +40,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles (similarity 0.8 or more) the one with the smallest id stays.
 
-    Rows that share an id stay or go together; rows without an id stay.
+    Rows with the same id and text stay or go together; rows without an id stay.
     """
+    small_batches(spark)
     found = ngram_join.ngram_join(docs, 5, Fraction(4, 5)).filter("doc_id <> component_id")
-    dropped = checked_broadcast(save(found.select(F.col("doc_id").alias("_dropped")), "near-dropped"))
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["_dropped"], "left_anti")
+    dropped = checked_broadcast(save(found.select(F.col("doc_id").alias("_dropped"), F.col("text_hash").alias("_text")).distinct(), "near-dropped"))
+    same = (docs["doc_id"].cast("long") == dropped["_dropped"]) & (F.xxhash64(docs["text"].cast("string")) == dropped["_text"])
+    return docs.join(dropped, same, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the place in the mixing order (as far as docs has it), and the token ids with digests of them and of the text that they decode to."""
+    small_batches(spark)
     return bpe.encode_documents(docs, TOKENIZER, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"), keep=("doc_id", "lang", "source", *[c for c in MIXED if c in docs.columns]))
 
 
