@@ -244,7 +244,7 @@ def test_candidates_grow_with_a_group(spark, monkeypatch):
     rng, sizes = random.Random(1), {}
     words = [f"w{i}" for i in range(5000)]
     save = ngram_join.save
-    for n in (80, 320):
+    for n in (40, 160):
         seen = sizes[n] = Counter()
 
         def counted(df, name, seen=seen):
@@ -270,7 +270,7 @@ def test_candidates_grow_with_a_group(spark, monkeypatch):
                     a, b = sorted((label[i], label[j]))
                     label = [a if x == b else x for x in label]
         assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(label))
-    assert sum(sizes[320].values()) < 8 * sum(sizes[80].values())
+    assert sum(sizes[160].values()) < 8 * sum(sizes[40].values())
 
 
 def test_near_dedup_keeps_other_texts_of_a_dropped_id(spark):
