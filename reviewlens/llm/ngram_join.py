@@ -52,7 +52,7 @@ LONG = 64 * SKETCH
 #: sketch words of postings by grade of their sets' sizes: the fewest whose random halves still exceed the bits that linked sets may differ in
 GRADES = (16, SKETCH, SKETCH)
 #: rounds of stars after the first, and the share of the nodes in mixed signatures that have to change their component for another
-STAR_ROUNDS, STAR_GAIN = 2, 0.02
+STAR_ROUNDS, STAR_GAIN = 1, 0.02
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
