@@ -2,14 +2,18 @@
 
 The standard library's parser streams a page's events.  Text is gathered into
 lines: one for each run of inline content between block tags (pages often have
-no line breaks of their own).  Elements that are no content by their tag, role
-or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) are left out with all they hold.  A line's ratio is
-its characters per tag; ratios are smoothed with a Gaussian, and lines above a
-threshold (the clusters' midpoint, from two-means on the smoothed ratios) are
-content.  The content region is the article (or, where a page marks none, the
-innermost container) that holds most of the content lines; all lines in it that
-were not left out are its text, short ones too.
+no line breaks of their own).  Elements that are no content by their tag or
+role (menus, headers, footers, asides, forms, scripts, styles) are left out
+with all they hold, and so are those named as adverts, notices, sidebars or
+reader comments, unless they wrap the body of the page.  A line's ratio is its
+characters per tag; the logarithms of the ratios are smoothed with a Gaussian,
+and lines above a threshold (the midpoint of two clusters' means) are chosen.
+
+Where articles hold at least half of the chosen characters, their lines are the
+text (all articles but those of a few characters or mostly links).  Elsewhere
+the chosen lines are the text, completed to the lines beside them: those of a
+container that holds chosen lines itself, those between two chosen ones, and
+headings of what stays.  Lines of links with a ratio below the threshold go.
 """
 
 from __future__ import annotations
@@ -24,23 +28,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.0
-#: share of the content lines' characters that the region holds, where no article is marked
-REGION_SHARE = 0.8
+#: share of the chosen characters that articles (or else the main element) hold to be the region
+REGION_SHARE = 0.5
+#: an article with a smaller share of the chosen characters is a teaser
+ARTICLE_SHARE = 0.1
+#: share of a line's or article's characters in links that makes it a list of links
+LINK_SHARE = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: elements that are never content
 NO_CONTENT = frozenset("nav header footer aside form script style noscript template title button select option textarea input iframe object canvas svg menu dialog applet audio video map math".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: words of class and id names of what is no content
+#: words of class and id names of reader comments, and of other things that are no content
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu
 breadcrumb breadcrumbs sidebar aside rail header masthead footer cookie cookies consent gdpr notice notices notification alert popup modal overlay
-comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe signup login
-search widget pagination pager toolbar""".split())
+share sharing social related recommended recommendations newsletter subscribe signup login search widget pagination pager toolbar""".split())
+#: names that begin so tell what an element has or lacks, not what it is
+STATES = frozenset("has no with without is".split())
 #: with one of these a header's name is that of the article's own head
 OWN = frozenset("article post entry story main content".split())
 SECTIONS = frozenset(("article", "main"))
-ROOTS = frozenset(("html", "body", *SECTIONS))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: these hold a line or so each: no regions
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre figcaption caption blockquote ul ol dl figure summary address hgroup".split())
 #: a start tag that ends an open element of these kinds
@@ -48,30 +58,35 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def no_content(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+#: what an element is by its tag, role and names
+CONTENT, LEFT_OUT, NAMED, COMMENT = range(4)
+
+
+def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     if tag in NO_CONTENT:
-        return True
-    if tag in ROOTS:
-        return any(k in ("class", "id") and v and {p.lower() for p in _NAME_PARTS.findall(v)} & {"comment", "comments"} for k, v in attrs)
-    for k, v in attrs:
-        if not v:
-            continue
-        if k == "role" and v.strip().lower() in ROLES:
-            return True
-        if k in ("class", "id"):
-            for name in v.split():
-                parts = {p.lower() for p in _NAME_PARTS.findall(name)}
-                found = parts & NAMES
-                if found and not (parts & OWN and found <= {"header"}):
-                    return True
-    return False
+        return LEFT_OUT
+    if tag in ("html", "body"):
+        return CONTENT
+    if any(k == "role" and v and v.strip().lower() in ROLES for k, v in attrs):
+        return LEFT_OUT
+    names = [[p.lower() for p in _NAME_PARTS.findall(name)] for k, v in attrs if v and k in ("class", "id") for name in v.split()]
+    names = [set(parts) for parts in names if parts and not (parts[0] in STATES and len(parts) > 1)]
+    if tag in SECTIONS:  # comments may be articles; other names belong to the article's own looks
+        return COMMENT if any(x & COMMENTS for x in names) and not any(x & OWN for x in names) else CONTENT
+    if any(x & COMMENTS for x in names):
+        return COMMENT
+    for x in names:
+        found = x & NAMES
+        if found and not (x & OWN and found <= {"header"}):
+            return NAMED
+    return CONTENT
 
 
 class Line:
-    __slots__ = ("text", "tags", "path")
+    __slots__ = ("text", "tags", "path", "links", "linked", "tag")
 
-    def __init__(self, text: str, tags: int, path: tuple[int, ...]):
-        self.text, self.tags, self.path = text, tags, path
+    def __init__(self, text: str, tags: int, path: tuple[int, ...], links: int, linked: int, tag: str):
+        self.text, self.tags, self.path, self.links, self.linked, self.tag = text, tags, path, links, linked, tag
 
 
 class PageParser(HTMLParser):
@@ -81,6 +96,9 @@ class PageParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, number, left out with all it holds
         self.out = 0  # open elements that are left out
+        self.named: dict[int, int] = {}  # containers that may be left out by their names -> NAMED or COMMENT
+        self.in_link = False
+        self.links = self.linked = 0  # of the open line: links, characters in them
         self.n_open: dict[str, int] = {}  # by tag
         self.kinds: list[str] = []
         self.lines: list[Line] = []
@@ -94,9 +112,10 @@ class PageParser(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(Line(text, self.tags, tuple(n for t, n, _ in self.open if t not in INLINE)))
+                blocks = [(t, n) for t, n, _ in self.open if t not in INLINE]
+                self.lines.append(Line(text, self.tags, tuple(n for _, n in blocks), self.links, self.linked, blocks[-1][0] if blocks else ""))
             self.parts.clear()
-        self.tags = 0
+        self.tags = self.links = self.linked = 0
 
     def pop(self, keep: int) -> None:
         while len(self.open) > keep:
@@ -109,6 +128,9 @@ class PageParser(HTMLParser):
             self.tags += 1
             if tag == "br":
                 self.parts.append(" ")
+            elif tag == "a":
+                self.in_link = True
+                self.links += not self.out
         else:
             self.end_line()
             if tag in SECTIONS and self.out:  # a menu or header that was not closed ends here
@@ -120,7 +142,10 @@ class PageParser(HTMLParser):
                 self.pop(len(self.open) - 1)
             self.tags = 1
         if tag not in VOID:
-            left = bool(attrs or tag in NO_CONTENT) and no_content(tag, attrs)
+            kind = kind_of(tag, attrs) if attrs or tag in NO_CONTENT else CONTENT
+            left = kind == LEFT_OUT or kind != CONTENT and tag in INLINE
+            if kind in (NAMED, COMMENT) and not left:
+                self.named[len(self.kinds)] = kind
             if left or tag not in INLINE:  # other inline elements hold nothing that matters here
                 self.kinds.append(tag)
                 self.open.append((tag, len(self.kinds) - 1, left))
@@ -133,6 +158,7 @@ class PageParser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in INLINE:
             self.tags += 1
+            self.in_link = self.in_link and tag != "a"
         else:
             self.end_line()
             if self.n_open.get(tag, 0):  # else it was never opened
@@ -147,6 +173,8 @@ class PageParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.out:
             self.parts.append(data)
+            if self.in_link:
+                self.linked += len(data)
 
     def close(self) -> None:
         if self.rawdata and (m := re.search(r"<[a-zA-Z/!?][^>]*\Z", self.rawdata)):
@@ -178,36 +206,93 @@ def threshold(x: np.ndarray) -> float:
     return (lo + hi) / 2
 
 
-def content_lines(lines: list[Line], kinds: list[str], sigma: float = SIGMA) -> list[Line]:
-    """The lines of the content region."""
+def held_by(lines: list[Line]) -> dict[int, int]:
+    """Container -> characters of the lines in it."""
+    held: dict[int, int] = {}
+    for x in lines:
+        for c in x.path:
+            held[c] = held.get(c, 0) + len(x.text)
+    return held
+
+
+def unnamed_lines(lines: list[Line], kinds: list[str], named: dict[int, int]) -> list[Line]:
+    """Without the lines of containers that their names leave out.
+
+    Such a container stays where it wraps the page's body whatever its name
+    says: it is no list of comments, holds most characters, and has in it an
+    article, the main element or the first-level heading, or at least three
+    paragraphs where no article or main element is outside.
+    """
+    if not named:
+        return lines
+    held = held_by(lines)
+    total = sum(len(x.text) for x in lines)
+    left = set()
+    for c, kind in named.items():
+        stays = False
+        if kind == NAMED and 2 * held.get(c, 0) > total:
+            inside = [x for x in lines if c in x.path]
+            within = {kinds[n] for x in inside for n in x.path[x.path.index(c):]}
+            outside = {kinds[n] for x in lines if c not in x.path for n in x.path}
+            stays = bool(within & {*SECTIONS, "h1"}) or sum(x.tag == "p" for x in inside) >= 3 and not outside & SECTIONS
+        if not stays:
+            left.add(c)
+    return [x for x in lines if left.isdisjoint(x.path)]
+
+
+def content_lines(lines: list[Line], kinds: list[str], named: dict[int, int] | None = None, sigma: float = SIGMA) -> list[Line]:
+    """The lines of the page's main text."""
+    lines = unnamed_lines(lines, kinds, named or {})
     if not lines:
         return []
-    ratio = np.array([len(x.text) / max(1, x.tags) for x in lines], float)
+    ratio = np.log1p([len(x.text) / max(1, x.tags) for x in lines])
     smooth = smoothed(ratio, sigma)
-    chosen = np.flatnonzero(smooth >= threshold(smooth))
-    held: dict[int, int] = {}  # container -> characters of content lines in it
-    for i in chosen:
-        for c in lines[i].path:
-            held[c] = held.get(c, 0) + len(lines[i].text)
-    sections = [c for c in held if kinds[c] in SECTIONS]
-    if sections:
-        # of articles the one with most; of nested ones that hold as much, the innermost article
-        articles = [c for c in sections if kinds[c] == "article"] or sections
-        region = max(articles, key=lambda c: (held[c], -c))
-    else:
-        total = sum(len(lines[i].text) for i in chosen)
-        enough = [c for c in held if held[c] >= REGION_SHARE * total and kinds[c] not in LEAVES]
-        if not enough:
-            return [lines[i] for i in chosen]
-        region = max(enough)  # the innermost: containers are numbered as they open
-    return [x for x in lines if region in x.path]
+    at = threshold(smooth)
+    chosen = smooth >= at
+    links = [x.links > 1 and x.linked >= LINK_SHARE * len(x.text) and r < at for x, r in zip(lines, ratio, strict=True)]
+    held = held_by([x for x, c in zip(lines, chosen, strict=True) if c])
+    total = sum(len(x.text) for x, c in zip(lines, chosen, strict=True) if c)
+
+    linked: dict[int, int] = {}
+    for x in lines:
+        for c in x.path:
+            linked[c] = linked.get(c, 0) + x.linked
+    text = held_by(lines)
+    articles = {c for c in held if kinds[c] == "article" and held[c] >= ARTICLE_SHARE * total and linked[c] < LINK_SHARE * text[c]}
+    if sum(len(x.text) for x, c in zip(lines, chosen, strict=True) if c and not articles.isdisjoint(x.path)) >= REGION_SHARE * total and articles:
+        return [x for x, out in zip(lines, links, strict=True) if not out and not articles.isdisjoint(x.path)]
+
+    teasers = {c for c in text if kinds[c] == "article"} - articles
+    mains = {c for c in held if kinds[c] == "main" and held[c] >= REGION_SHARE * total}
+    region = [i for i, x in enumerate(lines) if not links[i] and teasers.isdisjoint(x.path) and (not mains or not mains.isdisjoint(x.path))]
+    n_lines: dict[int, int] = {}
+    for x in lines:
+        for c in x.path:
+            n_lines[c] = n_lines.get(c, 0) + 1
+    own, up = [], []  # a line's container, and the one that holds more than this line
+    for x in lines:
+        holders = [c for c in x.path if kinds[c] not in LEAVES]
+        own.append(holders[-1] if holders else -1)
+        up.append(next((c for c in reversed(holders) if n_lines[c] > 1), -1))
+    direct = {own[i] for i in region if chosen[i] and kinds[own[i]] not in ("html", "body")} if kinds else set()
+    keep = {i for i in region if chosen[i] or own[i] in direct}
+    last: dict[int, int] = {}  # container -> place in region of its last chosen line
+    for k, i in enumerate(region):
+        if chosen[i]:
+            if up[i] in last:
+                keep.update(j for j in region[last[up[i]]:k] if up[j] == up[i])
+            last[up[i]] = k
+    for i, after in zip(reversed(region[:-1]), reversed(region[1:]), strict=True):
+        if lines[i].tag in HEADINGS and after in keep:
+            keep.add(i)
+    return [lines[i] for i in sorted(keep)]
 
 
 def main_text(html: str | None) -> str:
     parser = PageParser()
     parser.feed(html or "")
     parser.close()
-    return "\n".join(x.text for x in content_lines(parser.lines, parser.kinds))
+    return "\n".join(x.text for x in content_lines(parser.lines, parser.kinds, parser.named))
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
