@@ -280,9 +280,12 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
         return rows_of.join(several, "node", "left_anti").unionByName(rows_of.join(several, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in columns]))
 
     described = save(one_row_each(*sketch_cols, "long"), "ngram-sketches")
-    postings = one_row_each("signatures").select("node", F.explode("signatures").alias("sig"))
-    buckets = postings.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size")).filter("lead <> last")
-    buckets = save(buckets, "ngram-buckets")
+    postings = one_row_each("signatures", "n").select("node", F.col("n").cast("int").alias("n"), F.explode("signatures").alias("sig"))
+    buckets = postings.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # most signatures that several nodes have are those of two nodes, and most of these are of sizes that cannot be linked
+    sizes_allow = F.col("least").cast("long") * similarity.denominator >= F.col("most").cast("long") * similarity.numerator
+    buckets = save(buckets.filter(F.expr("lead <> last") & ((F.col("size") > 2) | sizes_allow)).select("sig", "lead", "size"), "ngram-buckets")
+    postings = postings.drop("n")
     # nodes of signatures that several nodes have
     shared = look_up(postings, buckets, "sig", "size", buckets.agg(F.sum("size")).first()[0] or 0).filter("lead is not null")
     shared = save(shared.select("sig", "node", "lead"), "ngram-shared")
