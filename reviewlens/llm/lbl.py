@@ -1,39 +1,52 @@
 """Operator 7: language-model scores of a log-bilinear model trained by noise-contrastive estimation.
 
 Words are lower-cased (A-Z) and each text ends with an end token.  The model
-predicts a token's class from the classes of the two tokens before it: the
-``TOP`` most frequent training words are classes of their own, all other words
-share one, the end token has one.  The context's vector is a sum of its words'
-vectors, each through the matrix of its place; a class's score is the product
-with the class's vector plus a bias.  A rare word's probability is its class's
-times (c + 0.5) / (Nr + 0.5 (Vr + 1)) over the rare training words, so the
-probabilities of all words, an unseen one among them, sum to 1.
-
-Counting, training and scoring run over all whole texts.  Each task trains on
-its texts from the same start; parameters are averaged, weighted by tokens.
-Words are told apart by 64-bit hashes.  The counts stay a distributed table:
-the words that make at least 1 in ``FREQUENT`` training tokens (at most
-``FREQUENT`` of them) are sent to the tasks as two arrays, the others are
-joined, none of which is frequent.
+predicts a token's class from the classes of the ``CONTEXT`` tokens before it.
+The most frequent training words are classes of their own, in number
+``GROWTH`` times the cube root of all training words (``MOST`` at most), so
+the vocabulary grows with the counts; a rarer word's class is one of
+``ENDINGS``, a hash of its last three bytes; the end token has one.  The
+context's vector is the sum of its classes' vectors, each scaled by those of
+its place.  A class's probability is a product of two softmaxes, over ranges of
+classes of neighbouring ranks and over the classes of the range; scores are
+products of the context's vector and an output vector plus a bias.  A rare
+word's probability is its class's times (c + 0.5) / (Nr + 0.5 (Vr + 1)) over the
+rare training words of the ending, so the probabilities of all words, an unseen
+one of each ending among them, sum to 1.
+
+Counting, training and scoring run over all whole texts.  Training goes in
+rounds, of which ``PARTS`` make a pass: in each, every task trains on its texts
+of one part, from the average of the parameters after the round before; the
+averages are weighted by tokens.  After the first pass rounds go on until the
+loss on held-back training texts (one in ``HELD_BACK``: counted, but left out of
+the rounds) falls by less than ``LEAST_GAIN`` a token, for ``PASSES`` passes at
+most.  Words are told apart by 64-bit hashes.  The counts stay a
+distributed table: the words that make at least 1 in ``FREQUENT`` training
+tokens (at most ``FREQUENT`` of them) are sent to the tasks as two arrays, the
+others are joined, none of which is frequent.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.common import save
-from reviewlens.llm.words import Group, as_bytes, groups, slices
+from reviewlens.llm.words import Group, as_bytes, groups, mix, slices
 
-TOP = 1024
+GROWTH, MOST, ENDINGS = 32, 1 << 18, 256
 FREQUENT = 1 << 20
-DIM, NOISE, SHARED_NOISE, BATCH, RATE = 16, 8, 64, 2048, 0.1
+CONTEXT, DIM, NOISE, SHARED_NOISE, BATCH, RATE = 4, 16, 2, 64, 4096, 0.1
+PARTS, PASSES, HELD_BACK, LEAST_GAIN = 4, 2, 64, 0.02
+#: a round's texts are trained on by about sqrt(words / WORDS_EACH) tasks at most (LEAST_TASKS where that is less), whose parameters are added up FAN_IN at a time
+WORDS_EACH, LEAST_TASKS, FAN_IN = 25_000, 64, 8
 
 
 def held_out(doc_id: Column) -> Column:
@@ -41,66 +54,85 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
+def endings(g: Group, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each word, a hash of its last three bytes (A-Z lower-cased) below ENDINGS."""
+    key = np.zeros(len(first), np.uint64)
+    for k in (1, 2, 3):
+        at = end - k
+        byte = g.data[np.maximum(at, 0)].astype(np.uint64)
+        byte += np.where((byte >= 65) & (byte <= 90), 32, 0).astype(np.uint64)
+        key = key * np.uint64(257) + np.where(at >= first, byte + np.uint64(1), np.uint64(0))
+    return (mix(key) % np.uint64(ENDINGS)).astype(np.int64)
+
+
 def count_words(texts: DataFrame) -> DataFrame:
-    """word (hash), n of all words of the column text, saved."""
+    """word (hash), ending, n of all words of the column text, saved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g in groups(as_bytes(batch.column(0)), 1 << 24):
-                w, n = np.unique(g.words(lower=True)[2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+                first, end, h, _ = g.words(lower=True)
+                w, i, n = np.unique(h, return_index=True, return_counts=True)
+                e = endings(g, first[i], end[i])
+                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(e.astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "ending", "n"])
 
-    return save(texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    counted = texts.select("text").mapInArrow(run, "word long, ending int, n long")
+    return save(counted.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n")), "lm-counts")
 
 
 @dataclass
 class Vocabulary:
-    top: np.ndarray  # hashes of the top words, sorted; a word's class is its place here
+    top: np.ndarray  # hashes of the words with a class of their own, sorted
+    top_class: np.ndarray  # their classes
+    ending_class: np.ndarray  # the class of each ending
+    end: int  # the class of the end token
     frequent: np.ndarray  # hashes of frequent words, sorted (the top words among them)
     count: np.ndarray
     n_texts: int
     n_words: int
     n_distinct: int
-    class_counts: np.ndarray  # of the outputs: top words, rare, end
-
-    @property
-    def rare(self) -> int:
-        return len(self.top)
-
-    @property
-    def end(self) -> int:
-        return len(self.top) + 1
+    class_counts: np.ndarray  # falling
+    rare_log: np.ndarray  # of each class, log10 of Nr + 0.5 (Vr + 1); 0 for words of their own and the end
 
     @property
     def begin(self) -> int:  # of contexts only
-        return len(self.top) + 2
-
-    @property
-    def rare_total(self) -> float:
-        return float(self.class_counts[self.rare]) + 0.5 * (self.n_distinct - len(self.top) + 1)
+        return len(self.class_counts)
 
     @property
     def total(self) -> float:
         """N + 0.5 (V + 1), the end token among them."""
         return self.n_words + self.n_texts + 0.5 * (self.n_distinct + (self.n_texts > 0) + 1)
 
+    def without_counts(self) -> Vocabulary:
+        """What classes need: no frequent words."""
+        none = np.zeros(0, np.int64)
+        return replace(self, frequent=none.view(np.uint64), count=none)
 
-def vocabulary(counts: DataFrame, n_texts: int, top: int = TOP, frequent: int = FREQUENT) -> Vocabulary:
-    n_words, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    first = counts.orderBy(F.desc("n"), "word").limit(top).toArrow()
-    often = counts.filter(F.col("n") >= max(2, n_words / frequent)).toArrow()  # ``frequent`` rows at most
 
-    def arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        w, n = t["word"].to_numpy().view(np.uint64), t["n"].to_numpy()
-        by = np.argsort(w)
-        return w[by], n[by]
-
-    w, n = arrays(first)
-    fw, fn = arrays(often)
+def vocabulary(counts: DataFrame, n_texts: int, top: int | None = None, frequent: int = FREQUENT) -> Vocabulary:
+    per_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    rare_n, rare_v = np.zeros(ENDINGS), np.zeros(ENDINGS)
+    ending = per_ending["ending"].to_numpy()
+    rare_n[ending], rare_v[ending] = per_ending["n"].to_numpy(), per_ending["v"].to_numpy()
+    n_words, n_distinct = int(rare_n.sum()), int(rare_v.sum())
+    if top is None:
+        top = min(MOST, math.ceil(GROWTH * n_words ** (1 / 3)))
+    first = counts.orderBy(F.desc("n"), "word").limit(top).toArrow()
+    often = counts.filter(F.col("n") >= max(2, n_words / frequent)).select("word", "n").toArrow()  # ``frequent`` rows at most
+    w, n, e = first["word"].to_numpy().view(np.uint64), first["n"].to_numpy(), first["ending"].to_numpy()
+    rare_n -= np.bincount(e, n, ENDINGS)
+    rare_v -= np.bincount(e, minlength=ENDINGS)
+    all_counts = np.concatenate([n, rare_n, [n_texts]])  # top words, endings, end
+    rank = np.argsort(-all_counts, kind="stable")
+    class_of = np.empty(len(rank), np.int64)
+    class_of[rank] = np.arange(len(rank))
+    rare_log = np.concatenate([np.zeros(len(w)), np.log10(rare_n + 0.5 * (rare_v + 1)), [0.0]])[rank]
+    fw, fn = often["word"].to_numpy().view(np.uint64), often["n"].to_numpy()
     extra = ~np.isin(w, fw)
     fw, fn = np.append(fw, w[extra]), np.append(fn, n[extra])
-    by = np.argsort(fw)
-    return Vocabulary(w, fw[by], fn[by], n_texts, int(n_words), int(n_distinct), np.concatenate([n, [n_words - n.sum(), n_texts]]).astype(np.float64))
+    by, by_word = np.argsort(fw), np.argsort(w)
+    return Vocabulary(w[by_word], class_of[:len(w)][by_word], class_of[len(w):-1], int(class_of[-1]), fw[by], fn[by], n_texts, n_words, n_distinct,
+                      all_counts[rank].astype(np.float64), rare_log)
 
 
 def find(sorted_: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,152 +143,239 @@ def find(sorted_: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, sorted_[i] == h
 
 
-def sequences(v: Vocabulary, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of two tokens before, one before, and of each token (the texts' words and ends), and where each text's tokens begin."""
+@dataclass
+class Sequence:
+    """The texts of a group as tokens (their words and ends)."""
+
+    target: np.ndarray  # class of each token
+    back: np.ndarray  # (CONTEXT, tokens): classes of the tokens before it, the nearest first
+    starts: np.ndarray  # where each text's tokens begin
+    word: np.ndarray  # hashes of the words alone
+    at: np.ndarray  # where each text's words begin
+    is_rare: np.ndarray  # of the words alone
+
+
+def sequence(v: Vocabulary, g: Group) -> Sequence:
+    first, end, h, at = g.words(lower=True)
     i, is_top = find(v.top, h)
+    rare = ~is_top
+    classes = v.ending_class[endings(g, first, end)]
+    if len(v.top):
+        classes[is_top] = v.top_class[i[is_top]]
     n = np.diff(at)
     starts = at + np.arange(len(at))
-    target = np.full(starts[-1], v.end, np.int64)
+    target = np.full(starts[-1], v.end, np.int32)
     is_word = np.ones(len(target), bool)
     is_word[starts[1:] - 1] = False
-    target[is_word] = np.where(is_top, i, v.rare)
-    back = np.empty((2, len(target)), np.int64)
+    target[is_word] = classes
+    back = np.full((CONTEXT, len(target)), v.begin, np.int32)
     place = np.arange(len(target)) - np.repeat(starts[:-1], n + 1)
-    for k, row in ((2, back[0]), (1, back[1])):
-        row[:] = v.begin
-        row[place >= k] = target[np.flatnonzero(place >= k) - k]
-    return back[0], back[1], target, starts
+    for k in range(1, CONTEXT + 1):
+        there = np.flatnonzero(place >= k)
+        back[k - 1, there] = target[there - k]
+    return Sequence(target, back, starts, h, at, rare)
 
 
 class Model:
-    """Parameters in one float32 vector: context words, a matrix for each place, outputs, biases."""
+    """Parameters in one float32 vector: context classes, scales of each place, outputs and biases of ranges and of classes.
+
+    Range r holds the classes from r * width to (r + 1) * width - 1.
+    """
 
-    def __init__(self, n_outputs: int, flat: np.ndarray | None = None, class_counts: np.ndarray | None = None, dim: int = DIM):
-        self.shapes = ((n_outputs + 1, dim), (2, dim, dim), (n_outputs, dim), (n_outputs,))
+    def __init__(self, class_counts: np.ndarray, flat: np.ndarray | None = None, dim: int = DIM):
+        n = len(class_counts)
+        self.width = max(1, math.ceil(math.sqrt(n)))
+        self.ranges = -(-n // self.width)
+        self.shapes = ((n + 1, dim), (CONTEXT, dim), (self.ranges, dim), (self.ranges,), (n, dim), (n,))
         sizes = [math.prod(s) for s in self.shapes]
-        if flat is None:
-            rng = np.random.default_rng(5)
-            flat = rng.normal(0, 0.1, sum(sizes)).astype(np.float32)
+        new = flat is None
+        if new:
+            flat = np.random.default_rng(5).normal(0, 0.1, sum(sizes))
         self.flat = np.array(flat, np.float32)
         parts = np.split(self.flat, np.cumsum(sizes)[:-1])
-        self.word, self.place, self.out, self.bias = (p.reshape(s) for p, s in zip(parts, self.shapes, strict=True))
-        if class_counts is not None:
-            q = (class_counts + 0.5) / (class_counts + 0.5).sum()
-            self.bias[:] = np.log(q)
-            self.place[:] += np.eye(dim, dtype=np.float32)
-
-    def log_normalisers(self, rows: int = 2048) -> np.ndarray:
-        """log of the sum of exp(score) over all outputs, for every pair of context classes."""
-        a, b = self.word @ self.place[0], self.word @ self.place[1]
-        z = np.empty((len(a), len(b)), np.float32)
-        for i in range(len(a)):
-            for k in range(0, len(b), rows):
-                s = (a[i] + b[k:k + rows]) @ self.out.T + self.bias
-                most = s.max(axis=1, keepdims=True)
-                z[i, k:k + rows] = np.log(np.exp(s - most).sum(axis=1)) + most[:, 0]
-        return z
+        self.word, self.place, self.range_out, self.range_bias, self.out, self.bias = (p.reshape(s) for p, s in zip(parts, self.shapes, strict=True))
+        q = (class_counts + 0.5) / (class_counts + 0.5).sum()
+        self.range_q = np.add.reduceat(q, np.arange(0, n, self.width))
+        self.q = q / self.range_q[np.arange(n) // self.width]
+        if new:
+            self.place[:] = 1
+            self.range_bias[:], self.bias[:] = np.log(self.range_q), np.log(self.q)
+
+    def context(self, back: np.ndarray) -> np.ndarray:
+        return sum(self.word[back[k]] * self.place[k] for k in range(CONTEXT))
+
+    def log_p(self, back: np.ndarray, target: np.ndarray, rows: int = 1 << 15) -> np.ndarray:
+        """Natural logarithm of the probability of each target, normalised over all classes."""
+        found = np.empty(len(target))
+        for at in range(0, len(target), rows):
+            t = target[at:at + rows]
+            h = self.context(back[:, at:at + rows])
+            r = t // self.width
+            p = normalised(h, self.range_out, self.range_bias, r)
+            by = np.argsort(r, kind="stable")
+            edge = np.append(np.flatnonzero(np.diff(r[by], prepend=-1)), len(by))
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                i = by[lo:hi]
+                a = int(r[i[0]]) * self.width
+                p[i] += normalised(h[i], self.out[a:a + self.width], self.bias[a:a + self.width], t[i] - a)
+            found[at:at + rows] = p
+        return found
+
+
+def normalised(h: np.ndarray, out: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log softmax of h @ out + bias at the chosen column of each row."""
+    s = h @ out.T
+    s += bias
+    s -= s.max(axis=1, keepdims=True)
+    picked = s[np.arange(len(s)), chosen]
+    np.exp(s, out=s)
+    return picked - np.log(s.sum(axis=1))
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-x, -30, 30)))
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad; a batch shares its noise samples, weighted to NOISE for each token."""
+    """Noise-contrastive estimation with AdaGrad, for ranges (a batch shares its noise samples, weighted to NOISE for
+    each token) and for classes within the target's range (NOISE samples for each token)."""
 
-    def __init__(self, model: Model, class_counts: np.ndarray, seed: int):
+    def __init__(self, model: Model, seed: int):
         self.m, self.rng = model, np.random.default_rng(seed)
-        q = (class_counts + 0.5) / (class_counts + 0.5).sum()
-        self.cumulative = np.cumsum(q)
-        self.log_kq = np.log(NOISE * q).astype(np.float32)
-        self.squares = np.full(len(model.flat), 1e-2, np.float32)
-
-    def step(self, c1: np.ndarray, c2: np.ndarray, t: np.ndarray) -> None:
+        self.range_cumulative = np.cumsum(model.range_q)
+        self.log_range = np.log(NOISE * model.range_q).astype(np.float32)
+        self.cumulative = np.append(0, np.cumsum(model.q))  # each range adds 1
+        self.log_class = np.log(NOISE * model.q).astype(np.float32)
+        self.squares = [np.ones((len(p), 1) if p.ndim == 2 else len(p), np.float32) for p in (model.word, model.place, model.range_out, model.range_bias, model.out, model.bias)]
+
+    def change(self, i: np.ndarray, *changes: tuple[int, np.ndarray, np.ndarray]) -> None:
+        """One AdaGrad step of the rows i (with repeats) of parameters: (place in squares, parameter, gradient of each
+        of i); a row's dimensions share its rate."""
+        by = np.argsort(i.astype(np.uint16) if len(self.m.word) <= 1 << 16 else i, kind="stable")  # short numbers sort by radix
+        s = i[by]
+        first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        s = s[first]
+        for k, to, rows in changes:
+            g = np.add.reduceat(rows[by], first, axis=0)
+            self.squares[k][s] += (g * g).mean(axis=1, keepdims=True) if g.ndim == 2 else g * g
+            to[s] -= RATE * g / np.sqrt(self.squares[k][s])
+
+    def step(self, back: np.ndarray, t: np.ndarray) -> None:
         m = self.m
-        noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(SHARED_NOISE)), len(self.log_kq) - 1)
-        x1, x2 = m.word[c1], m.word[c2]
-        h = x1 @ m.place[0] + x2 @ m.place[1]
-        qt, qn = m.out[t], m.out[noise]
-        st = np.einsum("ij,ij->i", h, qt) + m.bias[t] - self.log_kq[t]
-        sn = h @ qn.T + (m.bias[noise] - self.log_kq[noise])
-        gt = -1 / (1 + np.exp(np.clip(st, -30, 30)))
-        gn = (NOISE / SHARED_NOISE) / (1 + np.exp(np.clip(-sn, -30, 30)))
-        dh = gt[:, None] * qt + gn @ qn
-        grad = Model(len(m.bias), np.zeros(len(m.flat), np.float32), dim=m.word.shape[1])
-        for to, i, rows in ((grad.out, t, gt[:, None] * h), (grad.word, c1, dh @ m.place[0].T), (grad.word, c2, dh @ m.place[1].T)):
-            by = np.argsort(i, kind="stable")
-            s = i[by]
-            first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-            to[s[first]] += np.add.reduceat(rows[by], first, axis=0)
-        np.add.at(grad.out, noise, gn.T @ h)
-        grad.bias += np.bincount(t, gt, len(m.bias)).astype(np.float32) + np.bincount(noise, gn.sum(axis=0), len(m.bias)).astype(np.float32)
-        grad.place[0], grad.place[1] = x1.T @ dh, x2.T @ dh
-        g = grad.flat / np.float32(len(t))
-        self.squares += g * g
-        m.flat -= RATE * g / np.sqrt(self.squares)
-
-
-def train(texts: DataFrame, v: Vocabulary) -> Model:
-    """Every task trains on all its texts; the average of the tasks' parameters, weighted by their tokens."""
-    n_out, class_counts = len(v.class_counts), v.class_counts
-    start = Model(n_out, class_counts=class_counts)
-    if not v.n_texts:
-        return start
-    small = Vocabulary(v.top, v.top, v.top, v.n_texts, v.n_words, v.n_distinct, class_counts)
+        x = m.word[back]
+        h = np.einsum("kij,kj->ij", x, m.place)
+        r = t // m.width
+        noise = np.minimum(np.searchsorted(self.range_cumulative, self.rng.random(SHARED_NOISE), side="right"), m.ranges - 1)
+        out_t, out_n = m.range_out[r], m.range_out[noise]
+        true = sigmoid(np.einsum("ij,ij->i", h, out_t) + m.range_bias[r] - self.log_range[r]) - 1
+        false = sigmoid(h @ out_n.T + (m.range_bias[noise] - self.log_range[noise])) * np.float32(NOISE / SHARED_NOISE)
+        dh = true[:, None] * out_t + false @ out_n
+        self.change(np.append(r, noise), (2, m.range_out, np.concatenate([true[:, None] * h, false.T @ h])), (3, m.range_bias, np.append(true, false.sum(axis=0))))
+        drawn = np.searchsorted(self.cumulative, r[:, None] + self.rng.random((len(t), NOISE)), side="right") - 1
+        lo = (r * m.width)[:, None]
+        drawn = np.clip(drawn, lo, np.minimum(lo + m.width, len(m.bias)) - 1)
+        which = np.concatenate([t[:, None], drawn], axis=1)  # the target first
+        out = m.out[which]
+        g = sigmoid(np.einsum("ij,ikj->ik", h, out) + m.bias[which] - self.log_class[which])
+        g[:, 0] -= 1
+        dh += np.einsum("ik,ikj->ij", g, out)
+        self.change(which.ravel(), (4, m.out, (g[:, :, None] * h[:, None, :]).reshape(-1, h.shape[1])), (5, m.bias, g.ravel()))
+        self.change(back.ravel(), (0, m.word, (dh[None] * m.place[:, None]).reshape(-1, h.shape[1])))
+        self.change(np.arange(CONTEXT), (1, m.place, np.einsum("kij,ij->kj", x, dh)))
+
+
+def train_round(texts: DataFrame, v: Vocabulary, start: Model, seed: int) -> Model:
+    """Every task trains on all its texts from ``start``; the average of the tasks' parameters, weighted by their tokens."""
+    counts, flat = v.class_counts, start.flat
+    small = v.without_counts()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = Model(n_out, start.flat), 0
-        trainer = Trainer(model, class_counts, 17)
-        for batch in batches:
+        model, seen, task = Model(counts, flat), 0, TaskContext.get().partitionId()
+        trainer = Trainer(model, seed)
+        for batch in slices(batches):
             for g in groups(as_bytes(batch.column(0))):
-                _, _, h, at = g.words(lower=True)
-                c1, c2, t, _ = sequences(small, h, at)
-                by = trainer.rng.permutation(len(t))
+                s = sequence(small, g)
+                by = trainer.rng.permutation(len(s.target))
                 for k in range(0, len(by), BATCH):
                     i = by[k:k + BATCH]
-                    trainer.step(c1[i], c2[i], t[i])
-                seen += len(t)
+                    trainer.step(s.back[:, i], s.target[i])
+                seen += len(by)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([model.flat.tobytes()], pa.binary())], ["seen", "flat"])
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([seen], pa.int64()), pa.array([model.flat.tobytes()], pa.binary())], ["task", "seen", "flat"])
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(len(start.flat)), 0
-        for batch in batches:
-            for n, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total += n * np.frombuffer(x, np.float32).astype(np.float64)
-                seen += n
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), seen))], ["i", "total", "seen"])
-
-    trained = save(texts.select("text").mapInArrow(run, "seen long, flat binary"), "lm-parts")
-    some = trained.repartition(max(1, math.isqrt(trained.count())))
-    mean = some.mapInArrow(add_up, "i long, total double, seen long").groupBy("i").agg((F.sum("total") / F.sum("seen")).alias("x")).toArrow()
-    flat = np.empty(len(start.flat), np.float32)
-    flat[mean["i"].to_numpy()] = mean["x"].to_numpy()
-    return Model(n_out, flat)
-
-
-def measure(g: Group, v: Vocabulary, model: Model, log_z: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Of each text of a group: n_tokens, n_known, base_log, model_log, n_rare, of all but the words that are not
-    frequent; those words, and (len(texts) + 1) where each text's begin."""
-    _, _, h, at = g.words(lower=True)
-    c1, c2, t, starts = sequences(v, h, at)
-    a, b = model.word @ model.place[0], model.word @ model.place[1]
-    log_p = np.empty(len(t))
-    for k in range(0, len(t), 1 << 16):
-        s = slice(k, k + (1 << 16))
-        log_p[s] = np.einsum("ij,ij->i", a[c1[s]] + b[c2[s]], model.out[t[s]]) + model.bias[t[s]] - log_z[c1[s], c2[s]]
-    word, which = np.unique(h, return_inverse=True)
+    def add_up(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        seen, total = average(rows)
+        return pa.table({"task": pa.array([key[0].as_py()], pa.int64()), "seen": pa.array([seen], pa.int64()), "flat": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "task long, seen long, flat binary"
+    tasks = max(LEAST_TASKS, math.isqrt(v.n_words // WORDS_EACH))
+    parts = save(texts.select("text").coalesce(tasks).mapInArrow(run, kind), "lm-parts")
+    n = parts.count()
+    while n > FAN_IN:
+        parts = save(parts.groupBy(F.expr(f"task div {FAN_IN}").alias("group")).applyInArrow(add_up, kind), "lm-parts")
+        n = parts.count()
+    return Model(counts, average(parts.toArrow())[1]) if n else start
+
+
+def average(rows: pa.Table) -> tuple[int, np.ndarray]:
+    """Tokens and mean parameters of rows (seen, flat)."""
+    seen, total = 0, 0.0
+    for n, flat in zip(rows["seen"].to_pylist(), rows["flat"], strict=True):
+        total = total + n * np.frombuffer(flat.as_buffer(), np.float32).astype(np.float64)
+        seen += n
+    return seen, (total / seen).astype(np.float32)
+
+
+def loss(texts: DataFrame, v: Vocabulary, model: Model) -> float:
+    """Mean negative log-probability (natural) of the classes of the texts' tokens; 0 without texts."""
+    counts, flat, small = v.class_counts, model.flat, v.without_counts()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Model(counts, flat)
+        for batch in slices(batches):
+            for g in groups(as_bytes(batch.column(0))):
+                s = sequence(small, g)
+                yield pa.RecordBatch.from_arrays([pa.array([len(s.target)], pa.int64()), pa.array([-float(fitted.log_p(s.back, s.target).sum())])], ["n", "loss"])
+
+    n, total = texts.select("text").mapInArrow(run, "n long, loss double").agg(F.sum("n"), F.sum("loss")).first()
+    return total / n if n else 0.0
+
+
+def train(texts: DataFrame, v: Vocabulary) -> Model:
+    """The model fitted to texts (doc_id, text) in rounds; parts and held-back texts go by a hash of both columns."""
+    model = Model(v.class_counts)
+    if not v.n_texts:
+        return model
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS * HELD_BACK))
+    back = texts.filter(dealt < PARTS)
+    last = math.inf
+    for k in range(PARTS * PASSES):
+        model = train_round(texts.filter((dealt >= PARTS) & (dealt % PARTS == k % PARTS)), v, model, 17 + k)
+        if k >= PARTS - 2:
+            now = loss(back, v, model)
+            if k >= PARTS - 1 and last - now < LEAST_GAIN:
+                break
+            last = now
+    return model
+
+
+def measure(g: Group, v: Vocabulary, model: Model) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Of each text of a group: n_tokens, n_known, base_log, model_log, of all but the words that are not frequent;
+    those words, and (len(texts) + 1) where each text's begin."""
+    s = sequence(v, g)
+    log_p = model.log_p(s.back, s.target) / math.log(10) - v.rare_log[s.target]
+    word, which = np.unique(s.word, return_inverse=True)
     i, often = find(v.frequent, word)
     log_c = (np.where(often, np.log10(v.count[i] + 0.5), 0.0) if len(v.frequent) else np.zeros(len(word)))[which]
     often = often[which]
-    is_rare = t == v.rare
     sums = lambda x, at: np.diff(np.append(0, np.cumsum(x))[at])
-    rare_words = is_rare[t != v.end] if len(h) else np.zeros(0, bool)
     by_doc = lambda x, at: np.array([x[p:q].sum() for p, q in zip(at[:-1], at[1:], strict=True)])
-    end_log = math.log10(v.n_texts + 0.5)
-    cols = {"n_tokens": np.diff(starts), "n_known": sums(often, at) + (v.n_texts > 0), "base_log": by_doc(log_c, at) + end_log,
-            "model_log": by_doc(log_p, starts) / math.log(10) + by_doc(np.where(rare_words, log_c, 0.0), at), "n_rare": sums(is_rare, starts)}
-    return cols, h[~often], np.searchsorted(np.flatnonzero(~often), at)
+    cols = {"n_tokens": np.diff(s.starts), "n_known": sums(often, s.at) + (v.n_texts > 0), "base_log": by_doc(log_c, s.at) + math.log10(v.n_texts + 0.5),
+            "model_log": by_doc(log_p, s.starts) + by_doc(np.where(s.is_rare, log_c, 0.0), s.at)}
+    return cols, s.word[~often], np.searchsorted(np.flatnonzero(~often), s.at)
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn_from=lambda doc_id: ~held_out(doc_id), top: int = TOP, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn_from=lambda doc_id: ~held_out(doc_id), top: int | None = None, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, learned_from, n_tokens, n_known, train_tokens, base_score, score (log10) of each row of docs.
 
     Null texts count as empty: one end token.  Each of repeated rows gets its
@@ -264,31 +383,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (probability 1) and 0.  Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), learn_from(F.col(id_col)).alias("learned_from"))
-    texts = rows.filter("learned_from").select("text")
+    texts = rows.filter("learned_from").select("doc_id", "text")
     counts = count_words(texts)
     v = vocabulary(counts, texts.count(), top, frequent)
-    model = train(texts, v)
-    log_z = model.log_normalisers()
+    class_counts, flat = v.class_counts, train(texts, v).flat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(class_counts, flat)
         for batch in slices(batches):
             for g in groups(as_bytes(batch.column(2))):
-                cols, rest, at = measure(g, v, model, log_z)
+                cols, rest, at = measure(g, v, model)
                 kept = [batch.column(k).slice(g.first, len(g.texts)) for k in (0, 1, 3)]
-                kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_log": pa.float64(), "model_log": pa.float64(), "n_rare": pa.int64()}
+                kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_log": pa.float64(), "model_log": pa.float64()}
                 words = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(rest.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(cols[k], kinds[k]) for k in kinds), words], ["row", "doc_id", "learned_from", *kinds, "words"])
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "learned_from")
-    found = save(numbered.mapInArrow(run, "row long, doc_id long, learned_from boolean, n_tokens long, n_known long, base_log double, model_log double, n_rare long, words array<long>"), "lm-rows")
-    few = counts.filter(F.col("n") < max(2, v.n_words / frequent)).withColumnRenamed("n", "c")
+    found = save(numbered.mapInArrow(run, "row long, doc_id long, learned_from boolean, n_tokens long, n_known long, base_log double, model_log double, words array<long>"), "lm-rows")
+    few = counts.filter(F.col("n") < max(2, v.n_words / frequent)).select("word", F.col("n").alias("c"))
     c = F.coalesce("c", F.lit(0))
     rest = (found.select("row", F.explode("words").alias("word")).join(few, "word", "left").groupBy("row")
             .agg(F.sum(F.log10(c + 0.5)).alias("rest_log"), F.sum((c > 0).cast("long")).alias("rest_known")))
     out = found.drop("words").join(rest, "row", "left")
     rest_log = F.coalesce("rest_log", F.lit(0.0))
-    trained = v.n_texts > 0
     base = F.col("base_log") + rest_log - F.col("n_tokens") * math.log10(v.total)
-    model_score = F.col("model_log") + rest_log - F.col("n_rare") * math.log10(v.rare_total)
+    model_score = F.col("model_log") + rest_log
     return out.select("doc_id", "learned_from", "n_tokens", (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-                      F.lit(v.n_words + v.n_texts).cast("long").alias("train_tokens"), base.alias("base_score"), (model_score if trained else base).alias("score"))
+                      F.lit(v.n_words + v.n_texts).cast("long").alias("train_tokens"), base.alias("base_score"), (model_score if v.n_texts else base).alias("score"))

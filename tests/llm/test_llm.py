@@ -276,13 +276,68 @@ def test_scores(spark, sf_dir):
 
 
 def test_probabilities_sum_to_one():
-    counts = np.array([50.0, 30, 20, 40, 10])  # three top words, rare, end
-    m = lbl.Model(5, class_counts=counts)
-    z = m.log_normalisers()
-    for a in range(6):
-        for b in range(6):
-            s = (m.word[a] @ m.place[0] + m.word[b] @ m.place[1]) @ m.out.T + m.bias
-            assert abs(np.exp(s - z[a, b]).sum() - 1) < 1e-4
+    counts = np.array([50.0, 40, 30, 20, 10, 3, 0])
+    m = lbl.Model(counts)
+    m.flat[:] = np.random.default_rng(1).normal(0, 1, len(m.flat))
+    for back in np.random.default_rng(2).integers(0, 8, (20, lbl.CONTEXT)):
+        p = np.exp(m.log_p(np.repeat(back[:, None], 7, axis=1), np.arange(7)))
+        h = sum(m.word[back[k]] * m.place[k] for k in range(lbl.CONTEXT))
+        r = np.exp(m.range_out @ h + m.range_bias)
+        c = np.exp(m.out @ h + m.bias)
+        want = [r[t // m.width] / r.sum() * c[t] / c[t // m.width * m.width:(t // m.width + 1) * m.width].sum() for t in range(7)]
+        assert abs(p.sum() - 1) < 1e-4 and np.allclose(p, want, rtol=1e-3)
+
+
+def test_score_equals_a_plain_sum(spark, sf_dir, monkeypatch):
+    """Fixed parameters in place of trained ones; counts, classes, contexts and sums word by word."""
+    rows = ODD + [(100 + r.doc_id, r.text) for r in real(spark, sf_dir).select("doc_id", "text").limit(80).collect()]
+    held = {}
+
+    def fixed(texts, v):
+        m = lbl.Model(v.class_counts)
+        m.flat += np.random.default_rng(3).normal(0, 0.3, len(m.flat)).astype(np.float32)
+        held["v"], held["m"] = v, m
+        return m
+
+    monkeypatch.setattr(lbl, "train", fixed)
+    out = lbl.score_documents(frame(spark, rows), top=40, frequent=500).collect()
+    v, m = held["v"], held["m"]
+    count = collections.Counter(w for i, x in rows if zlib.crc32(str(i if i is not None else "").encode()) % 5 != 1 for w in (x or "").encode().lower().split())
+    code = lambda w: words.Group(0, [w]).words(lower=True)[2][0]
+    own = {w: int(v.top_class[list(v.top).index(code(w))]) for w in count if code(w) in set(v.top)}
+    assert len(own) == 40 and min(count[w] for w in own) >= max(n for w, n in count.items() if w not in own)
+
+    def ending(w):
+        g = words.Group(0, [w])
+        first, end, _, _ = g.words(lower=True)
+        return int(lbl.endings(g, first, end)[0])
+
+    assert len({ending(w) for w in (b"nation", b"NATION", b"xION", b"\xc3\xa9tion")}) == 1
+    rare_n, rare_v = collections.Counter(), collections.Counter()
+    for w, n in count.items():
+        if w not in own:
+            rare_n[ending(w)] += n
+            rare_v[ending(w)] += 1
+    want = []
+    for i, x in rows:
+        toks = [*(x or "").encode().lower().split(), None]
+        cls = [v.end if w is None else own.get(w, int(v.ending_class[ending(w)])) for w in toks]
+        total = 0.0
+        for k, w in enumerate(toks):
+            back = np.array([[cls[k - j] if k >= j else v.begin] for j in range(1, lbl.CONTEXT + 1)])
+            total += float(m.log_p(back, np.array([cls[k]]))[0]) / math.log(10)
+            if w is not None and w not in own:
+                total += math.log10((count[w] + 0.5) / (rare_n[ending(w)] + 0.5 * (rare_v[ending(w)] + 1)))
+        want.append((i if i is not None else -1, len(toks), total))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.score) for r in out)
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-4 * b[1] + 1e-3
+
+
+def test_the_model_learns(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.01/documents.parquet")
+    s, b, n = lbl.score_documents(docs).filter("not learned_from").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (s - b) / n > 0.2
 
 
 def test_scores_without_training_texts(spark):
