@@ -159,7 +159,8 @@ def sequence(v: Vocabulary, g: Group) -> Sequence:
     first, end, h, at = g.words(lower=True)
     i, is_top = find(v.top, h)
     rare = ~is_top
-    classes = v.ending_class[endings(g, first, end)]
+    classes = np.empty(len(h), np.int64)
+    classes[rare] = v.ending_class[endings(g, first[rare], end[rare])]
     if len(v.top):
         classes[is_top] = v.top_class[i[is_top]]
     n = np.diff(at)
@@ -201,15 +202,17 @@ class Model:
             self.place[:] = 1
             self.range_bias[:], self.bias[:] = np.log(self.range_q), np.log(self.q)
 
-    def context(self, back: np.ndarray) -> np.ndarray:
-        return sum(self.word[back[k]] * self.place[k] for k in range(CONTEXT))
-
     def log_p(self, back: np.ndarray, target: np.ndarray, rows: int = 1 << 15) -> np.ndarray:
         """Natural logarithm of the probability of each target, normalised over all classes."""
         found = np.empty(len(target))
+        placed = self.word[None] * self.place[:, None]
+        h = np.ones((min(rows, len(target)), self.word.shape[1] + 1), np.float32)
         for at in range(0, len(target), rows):
             t = target[at:at + rows]
-            h = self.context(back[:, at:at + rows])
+            h = h[:len(t)]
+            np.take(placed[0], back[0, at:at + rows], axis=0, out=h[:, :-1], mode="clip")
+            for k in range(1, CONTEXT):
+                h[:, :-1] += np.take(placed[k], back[k, at:at + rows], axis=0)
             r = t // self.width
             p = normalised(h, self.range_out, self.range_bias, r)
             by = np.argsort(r, kind="stable")
@@ -222,18 +225,30 @@ class Model:
         return found
 
 
-def normalised(h: np.ndarray, out: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """log softmax of h @ out + bias at the chosen column of each row."""
-    s = h @ out.T
-    s += bias
-    s -= s.max(axis=1, keepdims=True)
-    picked = s[np.arange(len(s)), chosen]
-    np.exp(s, out=s)
-    return picked - np.log(s.sum(axis=1))
+def normalised(h: np.ndarray, out: np.ndarray, bias: np.ndarray, chosen: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """log softmax of h @ out + bias at the chosen column of each row, whose last element is 1 (for the bias); by blocks
+    of rows that fit a core's cache."""
+    found = np.empty(len(h), np.float32)
+    weights = np.concatenate([out, bias[:, None]], axis=1).T.copy()
+    ones = np.ones(len(out), np.float32)
+    most = math.sqrt(np.einsum("ij,ij->i", h, h).max() * np.einsum("ij,ij->j", weights, weights).max())
+    for at in range(0, len(h), rows):
+        s = h[at:at + rows] @ weights
+        if most > 80:  # exp() might leave float32
+            s -= s.max(axis=1, keepdims=True)
+        picked = s[np.arange(len(s)), chosen[at:at + rows]]
+        np.exp(s, out=s)
+        found[at:at + rows] = picked - np.log(s @ ones)
+    return found
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(-x, -30, 30)))
+    """In place."""
+    np.negative(x, out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Trainer:
@@ -256,17 +271,17 @@ class Trainer:
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         s = s[first]
         for k, to, rows in changes:
-            g = np.add.reduceat(rows[by], first, axis=0)
+            g = np.add.reduceat(np.take(rows, by, axis=0), first, axis=0)
             self.squares[k][s] += (g * g).mean(axis=1, keepdims=True) if g.ndim == 2 else g * g
             to[s] -= RATE * g / np.sqrt(self.squares[k][s])
 
     def step(self, back: np.ndarray, t: np.ndarray) -> None:
         m = self.m
-        x = m.word[back]
+        x = np.take(m.word, back, axis=0)
         h = np.einsum("kij,kj->ij", x, m.place)
         r = t // m.width
         noise = np.minimum(np.searchsorted(self.range_cumulative, self.rng.random(SHARED_NOISE), side="right"), m.ranges - 1)
-        out_t, out_n = m.range_out[r], m.range_out[noise]
+        out_t, out_n = np.take(m.range_out, r, axis=0), m.range_out[noise]
         true = sigmoid(np.einsum("ij,ij->i", h, out_t) + m.range_bias[r] - self.log_range[r]) - 1
         false = sigmoid(h @ out_n.T + (m.range_bias[noise] - self.log_range[noise])) * np.float32(NOISE / SHARED_NOISE)
         dh = true[:, None] * out_t + false @ out_n
@@ -275,7 +290,7 @@ class Trainer:
         lo = (r * m.width)[:, None]
         drawn = np.clip(drawn, lo, np.minimum(lo + m.width, len(m.bias)) - 1)
         which = np.concatenate([t[:, None], drawn], axis=1)  # the target first
-        out = m.out[which]
+        out = np.take(m.out, which, axis=0)
         g = sigmoid(np.einsum("ij,ikj->ik", h, out) + m.bias[which] - self.log_class[which])
         g[:, 0] -= 1
         dh += np.einsum("ik,ikj->ij", g, out)
