@@ -29,12 +29,11 @@ others are joined, none of which is frequent.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -305,7 +304,7 @@ def train_round(texts: DataFrame, v: Vocabulary, start: Model, seed: int) -> Mod
     small = v.without_counts()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen, task = Model(counts, flat), 0, TaskContext.get().partitionId()
+        model, seen = Model(counts, flat), 0
         trainer = Trainer(model, seed)
         for batch in slices(batches):
             for g in groups(as_bytes(batch.column(0))):
@@ -316,29 +315,32 @@ def train_round(texts: DataFrame, v: Vocabulary, start: Model, seed: int) -> Mod
                     trainer.step(s.back[:, i], s.target[i])
                 seen += len(by)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([seen], pa.int64()), pa.array([model.flat.tobytes()], pa.binary())], ["task", "seen", "flat"])
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([model.flat.tobytes()], pa.binary())], ["seen", "flat"])
 
-    def add_up(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        seen, total = average(rows)
-        return pa.table({"task": pa.array([key[0].as_py()], pa.int64()), "seen": pa.array([seen], pa.int64()), "flat": pa.array([total.tobytes()], pa.binary())})
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, mean = average(batches)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([mean.tobytes()], pa.binary())], ["seen", "flat"])
 
-    kind = "task long, seen long, flat binary"
+    kind = "seen long, flat binary"
     tasks = max(LEAST_TASKS, math.isqrt(v.n_words // WORDS_EACH))
     parts = save(texts.select("text").coalesce(tasks).mapInArrow(run, kind), "lm-parts")
     n = parts.count()
     while n > FAN_IN:
-        parts = save(parts.groupBy(F.expr(f"task div {FAN_IN}").alias("group")).applyInArrow(add_up, kind), "lm-parts")
+        parts = save(parts.coalesce(-(-n // FAN_IN)).mapInArrow(add_up, kind), "lm-parts")  # by files, without a shuffle
         n = parts.count()
-    return Model(counts, average(parts.toArrow())[1]) if n else start
+    return Model(counts, average(parts.toArrow().to_batches())[1]) if n else start
 
 
-def average(rows: pa.Table) -> tuple[int, np.ndarray]:
+def average(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
     """Tokens and mean parameters of rows (seen, flat)."""
-    seen, total = 0, 0.0
-    for n, flat in zip(rows["seen"].to_pylist(), rows["flat"], strict=True):
-        total = total + n * np.frombuffer(flat.as_buffer(), np.float32).astype(np.float64)
-        seen += n
-    return seen, (total / seen).astype(np.float32)
+    seen, total = 0, np.zeros(0)
+    for batch in batches:
+        for n, flat in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = n * np.frombuffer(flat.as_buffer(), np.float32).astype(np.float64)
+            total = total + x if seen else x
+            seen += n
+    return seen, (total / max(1, seen)).astype(np.float32)
 
 
 def loss(texts: DataFrame, v: Vocabulary, model: Model) -> float:
