@@ -50,16 +50,19 @@ def doc_term_counts(docs: DataFrame, *keep: str) -> DataFrame:
     document's split length."""
     # The document length is projected *before* the explode: an expression
     # on `text` next to the generator would be evaluated once per exploded
-    # token over the whole text (quadratic in document length).  The regex
-    # runs on the exploded column in generated code, not inside an array
-    # lambda.
-    pieces = (docs.select("doc_id", *keep, T.split_length("text").alias("n_pieces"),
-                          T.space_split("text").alias("raw_pieces"))
-              .select("doc_id", *keep, "n_pieces", F.explode_outer("raw_pieces").alias("raw")))
-    return (pieces.select("doc_id", "n_pieces", *keep, T.strip_symbols("raw").alias("word"))
-            .filter(F.col("word") != "")
+    # token over the whole text (quadratic in document length).  Symbols are
+    # deleted from the whole text at once, which leaves the same words between
+    # the same spaces.  The texts are dealt by doc_id, so that the words of a
+    # document are counted where they are and never shuffled.
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = (docs.repartition(n_parts, "doc_id")
+              .select("doc_id", *keep, T.split_length("text").alias("n_pieces"),
+                      T.space_split(F.regexp_replace("text", T.SYMBOL_NOT_SPACE_RUN, "")).alias("words"))
+              .select("doc_id", *keep, "n_pieces", F.explode_outer("words").alias("word")))
+    return (pieces.filter(F.col("word") != "")
             .groupBy("doc_id", "word", "n_pieces", *keep)
-            .agg(F.count(F.lit(1)).alias("f")))
+            .agg(F.count(F.lit(1)).alias("f"))
+            .select("doc_id", "word", "n_pieces", *keep, "f"))
 
 
 def term_collection_freq(train: DataFrame) -> DataFrame:
