@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewlens.functions import text as T
 from reviewlens.operators import bayes
-from reviewlens.sources.files import SCORED_SCHEMA
+from reviewlens.sources.files import REVIEW_FIELDS
 
 
 def fit_bayes_model(train: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -30,7 +30,7 @@ def start_bayes_scoring(spark: SparkSession, input_dir: str, model_path: str, ou
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream ``input_dir`` -> predictions (id, doc_id, prediction) under
     ``output_dir``.  ``checkpoint`` must be a shared folder on a cluster."""
-    reader = spark.readStream.schema(SCORED_SCHEMA).option("mode", "DROPMALFORMED")
+    reader = spark.readStream.schema(", ".join(f"{f} string" for f in REVIEW_FIELDS)).option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.json(input_dir)
