@@ -4,7 +4,8 @@ A text's vector is the mean of the embeddings of its subwords (byte 3-grams and
 4-grams of the lower-cased text, hashed to ``BUCKETS`` rows); a linear softmax
 on it gives the languages.  Embeddings and weights are trained together by
 stochastic gradient descent in numpy on at most ``ROWS_PER_LANG`` labelled rows
-a language (their hashed counts, not their texts, reach the driver).  The same
+a language, in one task (their hashed counts go there, not their texts, and the
+driver gets the model).  The same
 texts with their letters shuffled are a background class beside the languages,
 so a text that is like none of them scores low even with one language.  A fifth
 of the rows is held back to fit a temperature (1 at least) and the rejection
@@ -19,6 +20,7 @@ and the model that is sent to the tasks stays small.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -219,8 +221,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit a model on rows with a lang whose ids are not held out."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = training_rows(labelled, rows_per_lang).toArrow()
-    return fit([(a, m, np.asarray(b.values), np.asarray(c.values)) for a, m, b, c in zip(rows["lang"].to_pylist(), rows["mixed_up"].to_pylist(), *([x for x in rows[k].combine_chunks()] for k in ("bucket", "n")), strict=True)]) if rows.num_rows else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = [(a, m, np.asarray(b.values), np.asarray(c.values)) for batch in batches for a, m, b, c in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), batch.column(3), strict=True)]
+        model = fit(examples)
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # a bounded number of rows goes to one task; the driver gets the fitted model alone
+    found = training_rows(labelled, rows_per_lang).repartition(1).mapInArrow(lean(run), "model binary").collect()
+    return pickle.loads(found[0].model) if found else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
