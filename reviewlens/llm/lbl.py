@@ -214,7 +214,7 @@ class Model:
                 h[:, :-1] += np.take(placed[k], back[k, at:at + rows], axis=0)
             r = t // self.width
             p = normalised(h, self.range_out, self.range_bias, r)
-            by = np.argsort(r, kind="stable")
+            by = np.argsort(r.astype(np.uint16), kind="stable")  # short numbers sort by radix; at most sqrt(MOST) + 1 ranges
             edge = np.append(np.flatnonzero(np.diff(r[by], prepend=-1)), len(by))
             for lo, hi in zip(edge[:-1], edge[1:], strict=True):
                 i = by[lo:hi]
@@ -270,8 +270,12 @@ class Trainer:
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         s = s[first]
         for k, to, rows in changes:
-            g = np.add.reduceat(np.take(rows, by, axis=0), first, axis=0)
-            self.squares[k][s] += (g * g).mean(axis=1, keepdims=True) if g.ndim == 2 else g * g
+            x = np.take(rows, by, axis=0)
+            if rows.ndim == 2 and rows.dtype == np.float32 and rows.shape[1] % 2 == 0:  # two numbers at a time, as the parts of a complex one
+                g = np.add.reduceat(x.view(np.complex64), first, axis=0).view(np.float32)
+            else:
+                g = np.add.reduceat(x, first, axis=0)
+            self.squares[k][s] += (np.einsum("ij,ij->i", g, g) / g.shape[1])[:, None] if g.ndim == 2 else g * g
             to[s] -= RATE * g / np.sqrt(self.squares[k][s])
 
     def step(self, back: np.ndarray, t: np.ndarray) -> None:
@@ -285,7 +289,9 @@ class Trainer:
         false = sigmoid(h @ out_n.T + (m.range_bias[noise] - self.log_range[noise])) * np.float32(NOISE / SHARED_NOISE)
         dh = true[:, None] * out_t + false @ out_n
         self.change(np.append(r, noise), (2, m.range_out, np.concatenate([true[:, None] * h, false.T @ h])), (3, m.range_bias, np.append(true, false.sum(axis=0))))
-        drawn = np.searchsorted(self.cumulative, r[:, None] + self.rng.random((len(t), NOISE)), side="right") - 1
+        by = np.argsort(r.astype(np.uint16), kind="stable")  # neighbouring searches end near each other
+        drawn = np.empty((len(t), NOISE), np.int64)
+        drawn[by] = np.searchsorted(self.cumulative, (r[:, None] + self.rng.random((len(t), NOISE)))[by], side="right") - 1
         lo = (r * m.width)[:, None]
         drawn = np.clip(drawn, lo, np.minimum(lo + m.width, len(m.bias)) - 1)
         which = np.concatenate([t[:, None], drawn], axis=1)  # the target first
@@ -364,7 +370,7 @@ def train(texts: DataFrame, v: Vocabulary) -> Model:
     if not v.n_texts:
         return model
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS * HELD_BACK))
-    back = texts.filter(dealt < PARTS)
+    back = save(texts.filter(dealt < PARTS), "lm-held-back")  # one in HELD_BACK, read after every round
     last = math.inf
     for k in range(PARTS * PASSES):
         model = train_round(texts.filter((dealt >= PARTS) & (dealt % PARTS == k % PARTS)), v, model, 17 + k)
