@@ -22,8 +22,9 @@ expanded into all its pairs:
  1. each signature's nodes against the first of them (a star), then components;
  2. again stars, in signatures whose nodes are in several components: a node of
     the largest one, that which has the most such signatures, against the nodes of
-    the others; in later rounds other leads.  They go on while components
-    merge;
+    the others; in later rounds other leads.  A signature of many nodes has several leads
+    of its own: a group of near copies shares many signatures, so each of its nodes
+    meets as many different leads.  They go on while components merge;
  3. of signatures whose nodes still are in several components, all pairs of nodes
     of different components, compared by longer sketches.
 A pair goes to verification only if its sizes and the parity sketches of its
@@ -53,6 +54,8 @@ LONG = 64 * SKETCH
 GRADES = (16, SKETCH, SKETCH)
 #: rounds of stars after the first, and the share of the nodes in mixed signatures that have to change their component for another
 STAR_ROUNDS, STAR_GAIN = 1, 0.02
+#: signatures of more nodes have so many leads of their own
+MANY_NODES, LEADS = 32, 4
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -300,19 +303,22 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     labels = save(components(links, nodes), "ngram-labels")
 
     def mixed_postings() -> DataFrame:
-        """sig, node, label, main (the signature's largest component) of signatures whose nodes are in several components."""
+        """sig, node, label, main (the signature's largest component), size (its nodes) of signatures whose nodes are in several components."""
         labelled = shared.join(labels, "node").select("sig", "node", "label")
         per_label = labelled.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-        return save(labelled.join(mixed.select("sig", F.col("m.label").alias("main")), "sig"), "ngram-mixed")
+        mixed = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        return save(labelled.join(mixed.select("sig", F.col("m.label").alias("main"), "size"), "sig"), "ngram-mixed")
 
     checked = stars.select("a", "b")
     for turn in range(STAR_ROUNDS):
         left = mixed_postings()
         degree = left.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
         # the first round's leads are the best connected ones, later ones differ from signature to signature
-        rank = F.struct("degree", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
-        lead = left.filter("label = main").join(degree, "node").groupBy("sig").agg(F.max(rank)["node"].alias("lead"))
+        best = F.col("degree") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        many = F.col("size") > MANY_NODES
+        rank = F.struct(F.when(many, F.xxhash64("node", "sig", F.lit(turn))).otherwise(best), "node")
+        slot = F.when(many, F.pmod(F.xxhash64("node"), F.lit(LEADS))).otherwise(0).alias("slot")
+        lead = left.filter("label = main").join(degree, "node").groupBy("sig", slot).agg(F.max(rank)["node"].alias("lead")).drop("slot")
         pairs = left.filter("label <> main").join(lead, "sig").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         pairs = save(pairs.join(checked, ["a", "b"], "left_anti"), "ngram-turn")
         likely = save(candidates(pairs), "ngram-turn-likely")
@@ -324,7 +330,7 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
             labels = save(components(links, nodes), "ngram-labels")
         if n_found <= STAR_GAIN * n_mixed:
             break
-    left = save(mixed_postings().join(graded(described.drop("long"), similarity), "node"), "ngram-left")
+    left = save(mixed_postings().drop("size").join(graded(described.drop("long"), similarity), "node"), "ngram-left")
     # all pairs of different components, of which one is not in the signature's largest
     cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in sketch_cols]]
     others = left.filter("label <> main").select("sig", "grade", *cols("a"))
