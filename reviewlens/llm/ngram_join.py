@@ -26,7 +26,10 @@ expanded into all its pairs:
     of its own: a group of near copies shares many signatures, so each of its nodes
     meets as many different leads.  They go on while components merge;
  3. of signatures whose nodes still are in several components, all pairs of nodes
-    of different components, compared by longer sketches.
+    of different components, compared by longer sketches.  Similar texts share many
+    signatures and would be compared in each: of signatures with the same nodes one
+    is left, and none whose nodes are all in another one that they have in common
+    among their largest.
 A pair goes to verification only if its sizes and the parity sketches of its
 sets allow the similarity (the sketches' different bits are at most the sets'
 different tokens, so no link is lost); verification intersects the sets.
@@ -39,7 +42,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.common import checked_broadcast, look_up, save
@@ -52,10 +55,14 @@ SKETCH = 32
 LONG = 64 * SKETCH
 #: sketch words of postings by grade of their sets' sizes: the fewest whose random halves still exceed the bits that linked sets may differ in
 GRADES = (16, SKETCH, SKETCH)
+#: words to which the longer sketches of the last grade are folded there (its sets all have one of as many or more)
+FOLDED = 128
 #: rounds of stars after the first, and the share of the nodes in mixed signatures that have to change their component for another
 STAR_ROUNDS, STAR_GAIN = 1, 0.02
 #: signatures of more nodes have so many leads of their own
 MANY_NODES, LEADS = 32, 4
+#: so many of a node's largest signatures are tried for one that holds all nodes of a smaller one
+LARGEST = 4
 _PAIR_TOKENS = 4  # frequent prefix tokens that a subclass has on average
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -174,8 +181,16 @@ def possible(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
     return _threshold(a + "n", b + "n", similarity) & (differ * (q + p) <= (F.col(a + "n") + F.col(b + "n")) * (q - p))
 
 
+def possible_folded(similarity: Fraction, a: str = "a_", b: str = "b_") -> Column:
+    """Whether the folded longer sketches of two nodes, in the last grade, allow the similarity."""
+    p, q = similarity.numerator, similarity.denominator
+    differ = F.expr(f"aggregate(zip_with({a}long, {b}long, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    return F.col(a + "long").isNull() | F.col(b + "long").isNull() | (differ * (q + p) <= (F.col(a + "n") + F.col(b + "n")) * (q - p))
+
+
 def graded(rows: DataFrame, similarity: Fraction) -> DataFrame:
-    """rows (n, s0..) with ``grade``; the sketch is folded to the words of the grade, the others are 0 (and take no room on disk).
+    """rows (n, s0.., long) with ``grade``; the sketch is folded to the words of the grade, the others are 0 (and take no
+    room on disk).  The longer sketch is folded to ``FOLDED`` words in the last grade and null in others.
 
     A grade holds the sets up to a size, and those that may have a partner up to it, so these have a row in the next
     grade too: linked sets are in one grade together.
@@ -197,9 +212,21 @@ def graded(rows: DataFrame, similarity: Fraction) -> DataFrame:
                 out = F.when(F.col("grade") == g, folded).otherwise(out)
         return out
 
-    names = [f"s{k}" for k in range(SKETCH)]
+    names = [*(f"s{k}" for k in range(SKETCH)), "long"]
     rows = rows.withColumn("grade", F.explode(grades))
-    return rows.select(*[F.col(c) for c in rows.columns if c not in names], *[word(k).alias(f"s{k}") for k in range(SKETCH)])
+    long = F.expr(f"transform(sequence(0, {FOLDED - 1}), i -> aggregate(sequence(0, size(`long`) div {FOLDED} - 1), 0L, (x, j) -> x ^ `long`[i + {FOLDED} * cast(j as int)]))")
+    long = F.when((F.col("grade") == len(GRADES) - 1) & (F.size("long") >= FOLDED), long).alias("long")
+    return rows.select(*[F.col(c) for c in rows.columns if c not in names], *[word(k).alias(f"s{k}") for k in range(SKETCH)], long)
+
+
+def not_within(postings: DataFrame, most: int = LARGEST) -> DataFrame:
+    """The postings (sig, node, size: nodes of sig; saved) without those of signatures whose nodes all have a larger one
+    (or an equal one of smaller name) in common among the ``most`` largest of each: its pairs include theirs."""
+    by_size = Window.partitionBy("node").orderBy(F.desc("size"), "sig")
+    top = postings.withColumn("_rank", F.row_number().over(by_size)).filter(F.col("_rank") <= most).select("node", F.col("size").alias("top_size"), F.col("sig").alias("top"))
+    larger = postings.join(top, "node").filter("top_size > size or (top_size = size and top < sig)")
+    within = larger.groupBy("sig", "size", "top").agg(F.count(F.lit(1)).alias("n")).filter("n = size").select("sig").distinct()
+    return postings.join(within, "sig", "left_anti")
 
 
 def possible_long(pairs: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
@@ -302,11 +329,15 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
     links = verify(save(possible_long(stars, described, similarity), "ngram-likely"), rows, nodes, width, similarity)
     labels = save(components(links, nodes), "ngram-labels")
 
-    def mixed_postings() -> DataFrame:
-        """sig, node, label, main (the signature's largest component), size (its nodes) of signatures whose nodes are in several components."""
+    def mixed_postings(once: bool = False) -> DataFrame:
+        """sig, node, label, main (the signature's largest component), size (its nodes) of signatures whose nodes are in several components;
+        ``once``: of signatures with the same nodes (by 128 bits of hashes) one only."""
         labelled = shared.join(labels, "node").select("sig", "node", "label")
-        per_label = labelled.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        hashes = {f"h{k}": F.xxhash64("node", F.lit(k)) for k in range(2)} if once else {}
+        per_label = labelled.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(h).alias(c) for c, h in hashes.items()])
+        mixed = per_label.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("k"), *[F.bit_xor(c).alias(c) for c in hashes]).filter("k > 1")
+        if once:
+            mixed = mixed.groupBy("size", *hashes).agg(F.min("sig").alias("sig"), F.first("m").alias("m"))
         return save(labelled.join(mixed.select("sig", F.col("m.label").alias("main"), "size"), "sig"), "ngram-mixed")
 
     checked = stars.select("a", "b")
@@ -330,12 +361,12 @@ def ngram_join(docs: DataFrame, width: int = 3, similarity: Fraction = Fraction(
             labels = save(components(links, nodes), "ngram-labels")
         if n_found <= STAR_GAIN * n_mixed:
             break
-    left = save(mixed_postings().drop("size").join(graded(described.drop("long"), similarity), "node"), "ngram-left")
+    left = save(not_within(mixed_postings(once=True)).drop("size").join(graded(described, similarity), "node"), "ngram-left")
     # all pairs of different components, of which one is not in the signature's largest
-    cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in sketch_cols]]
+    cols = lambda p: [F.col("node").alias(p), F.col("label").alias(p + "_label"), *[F.col(c).alias(f"{p}_{c}") for c in (*sketch_cols, "long")]]
     others = left.filter("label <> main").select("sig", "grade", *cols("a"))
     everyone = left.select("sig", "grade", (F.col("label") == F.col("main")).alias("in_main"), *cols("b"))
-    second = others.join(everyone, ["sig", "grade"]).filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity))
+    second = others.join(everyone, ["sig", "grade"]).filter((F.col("a_label") != F.col("b_label")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & possible(similarity) & possible_folded(similarity))
     second = save(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"), "ngram-second")
     if second.limit(1).count():
         second = save(possible_long(second, described, similarity), "ngram-likely")
