@@ -189,8 +189,8 @@ def possible_folded(similarity: Fraction, a: str = "a_", b: str = "b_") -> Colum
 
 
 def graded(rows: DataFrame, similarity: Fraction) -> DataFrame:
-    """rows (n, s0.., long) with ``grade``; the sketch is folded to the words of the grade, the others are 0 (and take no
-    room on disk).  The longer sketch is folded to ``FOLDED`` words in the last grade and null in others.
+    """rows (n, s0.., and long, if they have it) with ``grade``; the sketch is folded to the words of the grade, the others
+    are 0 (and take no room on disk).  The longer sketch is folded to ``FOLDED`` words in the last grade and null in others.
 
     A grade holds the sets up to a size, and those that may have a partner up to it, so these have a row in the next
     grade too: linked sets are in one grade together.
@@ -216,7 +216,7 @@ def graded(rows: DataFrame, similarity: Fraction) -> DataFrame:
     rows = rows.withColumn("grade", F.explode(grades))
     long = F.expr(f"transform(sequence(0, {FOLDED - 1}), i -> aggregate(sequence(0, size(`long`) div {FOLDED} - 1), 0L, (x, j) -> x ^ `long`[i + {FOLDED} * cast(j as int)]))")
     long = F.when((F.col("grade") == len(GRADES) - 1) & (F.size("long") >= FOLDED), long).alias("long")
-    return rows.select(*[F.col(c) for c in rows.columns if c not in names], *[word(k).alias(f"s{k}") for k in range(SKETCH)], long)
+    return rows.select(*[F.col(c) for c in rows.columns if c not in names], *[word(k).alias(f"s{k}") for k in range(SKETCH)], *([long] if "long" in rows.columns else []))
 
 
 def not_within(postings: DataFrame, most: int = LARGEST) -> DataFrame:
